@@ -160,10 +160,14 @@ def ml_tokens(col: Column | str) -> Column:
 
 
 def char_bigrams(col: Column | str) -> Column:
-    """Set of lower-cased character bigrams (blanks included); empty for < 2 chars."""
-    t = F.lower(_c(col))
-    n = F.length(t)
+    """Set of lower-cased character bigrams (blanks included); empty for < 2 chars.
+
+    Linear in the text: split into characters once, then pair each character
+    with its successor (``substring`` by position would rescan the UTF-8
+    string for every bigram)."""
+    chars = F.split(F.lower(_c(col)), "")
+    n = F.size(chars)
     return F.when(
         n >= 2,
-        F.array_distinct(F.transform(F.sequence(F.lit(1), n - 1), lambda i: t.substr(i, F.lit(2)))),
+        F.array_distinct(F.zip_with(F.slice(chars, 1, n - 1), F.slice(chars, 2, n - 1), lambda x, y: F.concat(x, y))),
     ).otherwise(F.array().cast("array<string>"))

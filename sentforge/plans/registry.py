@@ -62,3 +62,65 @@ def q_sentence_extract(spark, sf_dir):
 )
 def q_sentence_counts(spark, sf_dir):
     return _sentences(spark, sf_dir).groupBy("sentence").agg(F.count(F.lit(1)).alias("n"))
+
+
+# -------------------------------------------------------------- matching ----
+from sentforge.operators import match as mt  # noqa: E402
+from sentforge.plans.tables import bench_lines  # noqa: E402
+
+
+def _pdf_lines(spark, sf_dir):
+    return doc_lines(spark, sf_dir).select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("filename"), F.col("line").alias("sentence")
+    )
+
+
+def _ik_lines(spark, sf_dir):
+    return bench_lines(spark, sf_dir).select(F.col("line").alias("sentence"))
+
+
+_EXACT_SQL = _with(o.DOC_LINES, o.BENCH_LINES) + f"""
+, l AS (SELECT 'doc_' || doc_id::VARCHAR AS filename, line AS sentence, {o.normal_form('line')} AS clean,
+               len(string_split(line, ' ')) AS wc
+        FROM doc_lines WHERE regexp_matches(line, '[A-Za-z]'))
+, r AS (SELECT line AS sentence, {o.normal_form('line')} AS clean FROM bench_lines WHERE regexp_matches(line, '[A-Za-z]'))
+SELECT l.sentence AS pdf_sentence, r.sentence AS ik_sentence, sha256(l.clean) AS norm_hash, l.filename
+FROM l JOIN r ON l.clean = r.clean WHERE l.wc > 4 AND l.clean <> '' AND r.clean <> ''"""
+
+
+@register("exact_match", _EXACT_SQL)
+def q_exact_match(spark, sf_dir):
+    return mt.exact_match(_pdf_lines(spark, sf_dir), _ik_lines(spark, sf_dir))
+
+
+def _near_sides(spark, sf_dir):
+    landed = doc_lines(spark, sf_dir).filter(F.col("lang") == "en").select(F.col("line").alias("sentence"))
+    return _ik_lines(spark, sf_dir), landed
+
+
+def _bigram_set(x: str) -> str:
+    return f"list_distinct(list_transform(range(1, length(lower({x}))), lambda i: substr(lower({x}), i, 2)))"
+
+
+_NEAR_SQL = _with(o.DOC_LINES, o.BENCH_LINES) + f"""
+, a AS (SELECT DISTINCT line AS text FROM bench_lines WHERE regexp_matches(line, '[A-Za-z]') AND length(line) >= 2)
+, b AS (SELECT DISTINCT line AS text FROM doc_lines
+        WHERE lang = 'en' AND regexp_matches(line, '[A-Za-z]') AND length(line) >= 2)
+, ag AS (SELECT text, {_bigram_set('text')} AS g FROM a)
+, bg AS (SELECT text, {_bigram_set('text')} AS g FROM b)
+, pairs AS (SELECT ag.text AS ik_sentence, bg.text AS pdf_sentence, len(ag.g) AS na, len(bg.g) AS nb,
+                   len(list_intersect(ag.g, bg.g)) AS inter FROM ag, bg)
+SELECT ik_sentence, pdf_sentence, 1.0 - inter::DOUBLE / (na + nb - inter)::DOUBLE AS confidence
+FROM pairs WHERE 1.0 - inter::DOUBLE / (na + nb - inter)::DOUBLE < 0.5"""
+
+
+@register("near_match", _NEAR_SQL)
+def q_near_match(spark, sf_dir):
+    a, b = _near_sides(spark, sf_dir)
+    return mt.near_match(a, b, 0.5)
+
+
+@register("near_match_lsh")
+def q_near_match_lsh(spark, sf_dir):
+    a, b = _near_sides(spark, sf_dir)
+    return mt.near_match_lsh(a, b, 0.5)
