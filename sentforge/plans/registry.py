@@ -124,3 +124,275 @@ def q_near_match(spark, sf_dir):
 def q_near_match_lsh(spark, sf_dir):
     a, b = _near_sides(spark, sf_dir)
     return mt.near_match_lsh(a, b, 0.5)
+
+
+# ------------------------------------------------------------- alignment ----
+from sentforge.operators import align as al  # noqa: E402
+from sentforge.operators import memory as mem  # noqa: E402
+
+# Test binding of the ten languages: documents of source src0..src9.
+LANG_SOURCES = {f"src{i}": lang for i, lang in enumerate(al.LANGUAGES)}
+_LANG_MAP_SQL = (
+    "(SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{l}')" for s, l in LANG_SOURCES.items()) + ") v(source, lang))"
+)
+_NF = o.normal_form
+
+
+def _lang_of(col: str):
+    expr = None
+    for s, lang in LANG_SOURCES.items():
+        expr = (F.when(F.col(col) == s, lang) if expr is None else expr.when(F.col(col) == s, lang))
+    return expr
+
+
+def _next_lines(spark, sf_dir):
+    """Target side of a document's parallel text: line i+1 under id i."""
+    return doc_lines(spark, sf_dir).select("doc_id", (F.col("line_no") - 1).alias("line_no"), "line")
+
+
+def _clean(spark, sf_dir):
+    return _ik_lines(spark, sf_dir)
+
+
+@register(
+    "line_align",
+    """SELECT DISTINCT s.text AS src_sentence, t.text AS tgt_sentence
+FROM conversations s JOIN conversations t ON s.conv_id = t.conv_id AND t.turn - 1 = s.turn
+WHERE s.role = 'user' AND t.role = 'assistant'""",
+)
+def q_line_align(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    src = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("line"))
+    tgt = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("line"))
+    return al.line_align(src, tgt, ["conv_id", "turn"])
+
+
+_ALIGN_CTES = (o.DOC_LINES, o.BENCH_LINES, f"""clean_norm AS (
+  SELECT DISTINCT {_NF('line')} AS n FROM bench_lines WHERE {_NF('line')} <> '')""")
+
+
+@register(
+    "align_filtered",
+    _with(*_ALIGN_CTES) + f"""
+, s AS (SELECT doc_id, line_no, {_NF('line')} AS src_sentence FROM doc_lines
+        WHERE {_NF('line')} IN (SELECT n FROM clean_norm))
+, t AS (SELECT doc_id, line_no - 1 AS line_no, line AS tgt_sentence FROM doc_lines)
+SELECT DISTINCT src_sentence, tgt_sentence FROM s JOIN t USING (doc_id, line_no)""",
+)
+def q_align_filtered(spark, sf_dir):
+    return al.align_filtered(_clean(spark, sf_dir), doc_lines(spark, sf_dir), _next_lines(spark, sf_dir), ["doc_id", "line_no"])
+
+
+_PIVOT_SQL = _with(*_ALIGN_CTES) + f"""
+, s AS (SELECT m.lang, d.doc_id, d.line_no, {_NF('d.line')} AS src_sentence
+        FROM doc_lines d JOIN {_LANG_MAP_SQL} m USING (source)
+        WHERE {_NF('d.line')} IN (SELECT n FROM clean_norm))
+, t AS (SELECT doc_id, line_no - 1 AS line_no, line AS tgt_sentence FROM doc_lines)
+, al AS (SELECT DISTINCT lang, src_sentence, tgt_sentence FROM s JOIN t USING (doc_id, line_no)
+         WHERE tgt_sentence IS NOT NULL)
+, r AS (SELECT *, row_number() OVER (PARTITION BY src_sentence, lang ORDER BY tgt_sentence) AS k FROM al)
+, w AS (SELECT src_sentence, k, {', '.join(f"max(CASE WHEN lang = '{x}' THEN tgt_sentence END) AS {x}" for x in al.LANGUAGES)}
+        FROM r GROUP BY src_sentence, k)
+SELECT b.line AS pdf_sentence, w.k, {', '.join('w.' + x for x in al.LANGUAGES)}
+FROM bench_lines b LEFT JOIN w ON {_NF('b.line')} = w.src_sentence"""
+
+
+@register("language_pivot", _PIVOT_SQL)
+def q_language_pivot(spark, sf_dir):
+    src = doc_lines(spark, sf_dir).filter(F.col("source").isin(*LANG_SOURCES)).withColumn("lang", _lang_of("source"))
+    aligned = al.align_filtered(
+        _clean(spark, sf_dir), src, _next_lines(spark, sf_dir), ["doc_id", "line_no"], carry=["lang"]
+    )
+    return al.language_pivot(_clean(spark, sf_dir), aligned)
+
+
+_ALIGNED_ALL = """aligned AS (
+  SELECT DISTINCT s.line AS src_sentence, t.line AS tgt_sentence
+  FROM doc_lines s JOIN doc_lines t ON s.doc_id = t.doc_id AND t.line_no = s.line_no + 1)"""
+
+
+def _aligned_all(spark, sf_dir):
+    return al.line_align(doc_lines(spark, sf_dir), _next_lines(spark, sf_dir), ["doc_id", "line_no"])
+
+
+@register(
+    "overlap",
+    _with(o.DOC_LINES, o.BENCH_LINES, _ALIGNED_ALL) + f"""
+SELECT b.line AS pdf_sentence, a.tgt_sentence, sha256({_NF('b.line')}) AS norm_hash
+FROM bench_lines b LEFT JOIN aligned a ON b.line = a.src_sentence""",
+)
+def q_overlap(spark, sf_dir):
+    return al.overlap(_clean(spark, sf_dir), _aligned_all(spark, sf_dir), how="left")
+
+
+@register(
+    "overlap_inner",
+    _with(o.DOC_LINES, o.BENCH_LINES, _ALIGNED_ALL) + """
+SELECT DISTINCT b.line AS pdf_sentence, a.tgt_sentence FROM bench_lines b JOIN aligned a ON b.line = a.src_sentence""",
+)
+def q_overlap_inner(spark, sf_dir):
+    return al.overlap(_clean(spark, sf_dir), _aligned_all(spark, sf_dir), how="inner")
+
+
+def _pairs(spark, sf_dir):
+    """Parallel pairs: a user turn and the next turn, metadata JSON from the
+    event that shares the conversation id."""
+    c = table(spark, sf_dir, "conversations")
+    s = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("src"), F.col("role").alias("src_lang"))
+    t = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("tgt"), F.col("role").alias("tgt_lang"))
+    e = table(spark, sf_dir, "events").select(F.col("event_id").alias("conv_id"), F.col("props").alias("metadata_json"))
+    p = s.join(t, ["conv_id", "turn"]).join(e, "conv_id", "left")
+    return p.select(
+        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("sno"),
+        "src", "tgt", "src_lang", "tgt_lang", "metadata_json",
+    )
+
+
+_PAIRS_SQL = """pairs AS (
+  SELECT sha256(s.text) AS src_hash, s.text AS src, t.text AS tgt, s.role AS src_lang, t.role AS tgt_lang,
+         try_cast(json_extract_string(e.props, '$.k') AS BIGINT) AS k
+  FROM conversations s JOIN conversations t ON s.conv_id = t.conv_id AND t.turn = s.turn + 1
+  LEFT JOIN events e ON e.event_id = s.conv_id
+  WHERE s.role = 'user')"""
+
+
+@register("pair_load", _with(_PAIRS_SQL) + "SELECT * FROM pairs")
+def q_pair_load(spark, sf_dir):
+    return al.pair_load(_pairs(spark, sf_dir), "k bigint")
+
+
+@register(
+    "pair_query",
+    _with(_PAIRS_SQL) + """
+SELECT src, tgt FROM pairs
+WHERE length(src) < 160 AND (CASE WHEN k < 50 THEN 'M' ELSE 'F' END) = 'M'
+ORDER BY src, tgt LIMIT 10""",
+)
+def q_pair_query(spark, sf_dir):
+    p = al.pair_load(_pairs(spark, sf_dir), "k bigint").withColumn(
+        "label", F.when(F.col("k") < 50, "M").when(F.col("k") >= 50, "F")
+    )
+    return al.pair_query(p, 160, "label", "M", 10)
+
+
+# ------------------------------------------------------ translation memory ----
+def _translate(col: str):
+    """Stand-in for the translation service output (a table in practice)."""
+    return F.concat(F.lit("[hi] "), F.col(col))
+
+
+def _memory(spark, sf_dir):
+    lines = doc_lines(spark, sf_dir).filter(F.col("source").isin(*LANG_SOURCES) & (F.col("line") != ""))
+    return mem.memory_rows(
+        lines.select(F.col("line").alias("sentence"), "lang"), _translate("sentence"), F.col("lang"), F.lit("hi")
+    )
+
+
+def _requests(spark, sf_dir):
+    return doc_lines(spark, sf_dir).filter(~F.col("source").isin(*LANG_SOURCES) & (F.col("line") != "")).select(
+        F.col("line").alias("sentence")
+    )
+
+
+_SRC_IN = "(" + ", ".join(f"'{s}'" for s in LANG_SOURCES) + ")"
+_MEM_SQL = f"""mem AS (
+  SELECT key, p.t AS target_sentence, p.s AS source_sentence, p.sl AS source_language, p.tl AS target_language
+  FROM (SELECT 'hi_' || sha256(line) AS key,
+               max(struct_pack(t := '[hi] ' || line, s := line, sl := lang, tl := 'hi')) AS p
+        FROM doc_lines WHERE source IN {_SRC_IN} AND line <> '' GROUP BY 1)),
+req AS (SELECT DISTINCT line AS source_sentence FROM doc_lines WHERE source NOT IN {_SRC_IN} AND line <> ''),
+looked AS (
+  SELECT r.source_sentence, m.target_sentence, m.target_sentence IS NOT NULL AS hit
+  FROM req r LEFT JOIN (SELECT * FROM mem WHERE target_sentence IS NOT NULL AND target_sentence <> '') m
+    ON 'hi_' || sha256(r.source_sentence) = m.key)"""
+
+
+@register("memory_lookup", _with(o.DOC_LINES, _MEM_SQL) + "SELECT * FROM looked")
+def q_memory_lookup(spark, sf_dir):
+    return mem.memory_lookup(_requests(spark, sf_dir), _memory(spark, sf_dir), "hi")
+
+
+@register("memory_misses", _with(o.DOC_LINES, _MEM_SQL) + "SELECT source_sentence FROM looked WHERE NOT hit")
+def q_memory_misses(spark, sf_dir):
+    return mem.memory_misses(_requests(spark, sf_dir), _memory(spark, sf_dir), "hi")
+
+
+@register(
+    "memory_upsert",
+    _with(o.DOC_LINES, _MEM_SQL) + """
+, new AS (SELECT 'hi_' || sha256(source_sentence) AS key, source_sentence, '[hi] ' || source_sentence AS target_sentence,
+                 'und' AS source_language, 'hi' AS target_language FROM looked WHERE NOT hit)
+SELECT key, source_sentence, target_sentence, source_language, target_language FROM mem
+WHERE key NOT IN (SELECT key FROM new)
+UNION ALL SELECT * FROM new""",
+)
+def q_memory_upsert(spark, sf_dir):
+    memory = _memory(spark, sf_dir)
+    misses = mem.memory_misses(_requests(spark, sf_dir), memory, "hi")
+    # The translation step is an input table; here: a tagged copy of the source.
+    new = mem.memory_rows(misses, _translate("source_sentence"), F.lit("und"), F.lit("hi"), text_col="source_sentence")
+    return mem.memory_upsert(memory, new)
+
+
+# ------------------------------------------------------------ keyed merge ----
+_CUST_FIELDS = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+def _people(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.select(F.struct(F.col("c_custkey").cast("string").alias("oid")).alias("_id"), *_CUST_FIELDS)
+
+
+def _people_updates(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    upd = c.filter(F.col("c_mktsegment") == "BUILDING").select(
+        F.struct(F.col("c_custkey").cast("string").alias("oid")).alias("_id"),
+        F.lit(None).cast("string").alias("c_name"), F.lit(None).cast("int").alias("c_nationkey"),
+        F.lit(None).cast("double").alias("c_acctbal"), F.lit("BUILDING_UPDATED").alias("c_mktsegment"),
+    )
+    new = c.filter(F.col("c_nationkey") == 0).select(
+        F.struct((F.col("c_custkey") + 1000000).cast("string").alias("oid")).alias("_id"), *_CUST_FIELDS
+    )
+    return upd.unionByName(new)
+
+
+@register(
+    "keyed_merge",
+    """WITH b AS (SELECT c_custkey::VARCHAR AS oid, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer),
+u AS (SELECT c_custkey::VARCHAR AS oid, NULL::VARCHAR AS c_name, NULL::INTEGER AS c_nationkey, NULL::DOUBLE AS c_acctbal,
+             'BUILDING_UPDATED' AS c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'
+      UNION ALL
+      SELECT (c_custkey + 1000000)::VARCHAR, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_nationkey = 0)
+SELECT coalesce(b.oid, u.oid) AS oid, coalesce(u.c_name, b.c_name) AS c_name,
+       coalesce(u.c_nationkey, b.c_nationkey) AS c_nationkey, coalesce(u.c_acctbal, b.c_acctbal) AS c_acctbal,
+       coalesce(u.c_mktsegment, b.c_mktsegment) AS c_mktsegment
+FROM b FULL OUTER JOIN u ON b.oid = u.oid""",
+)
+def q_keyed_merge(spark, sf_dir):
+    return mem.keyed_merge(_people(spark, sf_dir), _people_updates(spark, sf_dir), "_id.oid", _CUST_FIELDS)
+
+
+_CUST_COLS = "c_custkey, c_name, c_nationkey, c_acctbal"
+_FIRST_AUTO = "(SELECT min(c_custkey) FROM customer WHERE c_mktsegment = 'AUTOMOBILE')"
+
+
+@register(
+    "predicate_update",
+    f"""SELECT {_CUST_COLS}, CASE WHEN coalesce(c_custkey = {_FIRST_AUTO}, false) THEN 'MACHINERY' ELSE c_mktsegment END
+       AS c_mktsegment FROM customer""",
+)
+def q_predicate_update(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return mem.predicate_update(c, F.col("c_mktsegment") == "AUTOMOBILE", "c_mktsegment", "MACHINERY", "c_custkey")
+
+
+@register("predicate_delete", f"SELECT * FROM customer WHERE NOT coalesce(c_custkey = {_FIRST_AUTO}, false)")
+def q_predicate_delete(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return mem.predicate_delete(c, F.col("c_mktsegment") == "AUTOMOBILE", "c_custkey")
+
+
+@register("predicate_find", "SELECT * FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_nationkey = 7")
+def q_predicate_find(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return mem.predicate_find(c, (F.col("c_mktsegment") == "MACHINERY") & (F.col("c_nationkey") == 7))
