@@ -28,6 +28,10 @@ END_OF_SENTENCE = r"""(([\"|”|,|a-zA-Z|0-9|.]{3,}[.|?|!|\"|”|:|;]|([:][ ][-]
 STYLE_RULE = r""".(.*){(.*)font-size:([0-9]*)px;(.*)font-family:(.*);(.*)color:(.*);(.*)"""
 TOP_VALUE = r"""(.*)(top:)([0-9]*)(.*)"""
 LEFT_VALUE = r"""(.*)(left:)([0-9]*)(.*)"""
+# The CSS-rule pattern above has a bare "{" after a group, which Python and
+# RE2 read as a literal brace but java.util.regex rejects ("illegal
+# repetition"); this is the same pattern with that brace escaped.
+STYLE_RULE_ESCAPED = STYLE_RULE.replace("){(", r")\{(")
 PAGE_NUMBER_FORMAT = r"""(Page|page)(\s)([0-9]*)(\s)(of)(\s)([0-9]*)"""
 # Abbreviations that stop a line from ending a sentence, compared
 # case-sensitively against the last 4 / 5 / 6 / 7 characters of the line.

@@ -396,3 +396,201 @@ def q_predicate_delete(spark, sf_dir):
 def q_predicate_find(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     return mem.predicate_find(c, (F.col("c_mktsegment") == "MACHINERY") & (F.col("c_nationkey") == 7))
+
+
+# ---------------------------------------------------------------- layout ----
+from sentforge.functions.text import STYLE_RULE_ESCAPED  # noqa: E402
+from sentforge.operators import layout as lay  # noqa: E402
+
+# Test binding of the layout inputs: a line table derived from document lines,
+# line boxes derived from lineitem (file = order key mod 1000, so a file holds
+# a few boxes per page and footer groups occur), two table cells on every
+# third page.
+LINES_PER_PAGE = 8
+
+
+def layout_lines(spark, sf_dir):
+    d = doc_lines(spark, sf_dir)
+    idx = (F.col("line_no") % LINES_PER_PAGE).cast("int")
+    top = (F.lit(50) + F.lit(165) * idx).cast("int")
+    left = (F.lit(100) + F.lit(20) * (F.length("line") % 3)).cast("int")
+    return d.select(
+        F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("filename"),
+        (F.floor(F.col("line_no") / LINES_PER_PAGE) + 1).cast("int").alias("page_no"),
+        idx.alias("idx"),
+        F.when(F.length("line") % 5 == 0, "18Times#000").otherwise("12Times#000").alias("style_key"),
+        F.concat(F.lit("top:"), top.cast("string"), F.lit("px;left:"), left.cast("string"), F.lit("px;")).alias("inline_style"),
+        F.col("line").alias("text"),
+        top.alias("top"),
+    )
+
+
+def line_boxes(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.concat(F.lit("doc"), (F.col("l_orderkey") % 1000).cast("string")).alias("file_id"),
+        F.col("l_linenumber").cast("int").alias("page_num"),
+        (F.lit(50) * (F.col("l_partkey") % 5)).cast("int").alias("x"),
+        (F.col("l_quantity") * 25).cast("int").alias("y"),
+        F.lit(400).alias("w"),
+    )
+
+
+def table_cell_boxes(spark, sf_dir):
+    pages = layout_lines(spark, sf_dir).select("filename", "page_no").filter(F.col("page_no") % 3 == 0).distinct()
+    cells = F.array(
+        F.struct(F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit(100).alias("x"), F.lit(300).alias("y"),
+                 F.lit(600).alias("w"), F.lit(200).alias("h")),
+        F.struct(F.lit(1).alias("row"), F.lit(0).alias("col"), F.lit(100).alias("x"), F.lit(500).alias("y"),
+                 F.lit(600).alias("w"), F.lit(200).alias("h")),
+    )
+    return pages.select(F.col("filename").alias("file_id"), F.col("page_no").alias("page_num"), F.inline(cells))
+
+
+_LAYOUT_SQL = """layout AS (
+  SELECT 'doc' || doc_id::VARCHAR AS filename, (line_no // 8 + 1)::INTEGER AS page_no, (line_no % 8)::INTEGER AS idx,
+         CASE WHEN length(line) % 5 = 0 THEN '18Times#000' ELSE '12Times#000' END AS style_key,
+         line AS text, (50 + 165 * (line_no % 8))::INTEGER AS top
+  FROM doc_lines),
+boxes AS (
+  SELECT 'doc' || (l_orderkey % 1000)::VARCHAR AS file_id, l_linenumber::INTEGER AS page_num,
+         (50 * (l_partkey % 5))::INTEGER AS x, (l_quantity * 25)::INTEGER AS y, 400 AS w FROM lineitem),
+cells AS (
+  SELECT filename AS file_id, page_no AS page_num, c.* FROM (SELECT DISTINCT filename, page_no FROM layout WHERE page_no % 3 = 0),
+  (VALUES (0, 0, 100, 300, 600, 200), (1, 0, 100, 500, 600, 200)) c(row, col, x, y, w, h))"""
+
+_L = _with(o.DOC_LINES, _LAYOUT_SQL)
+
+
+_HTML_SQL = f"""WITH pg AS (
+  SELECT page_id,
+         string_split_regex(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '\\s+')[2] AS page_no,
+         array_to_string(regexp_extract_all(html, '(?s)<style[^>]*>(.*?)</style>', 1), ' ') AS style_text,
+         regexp_replace(regexp_replace(html, '(?s)<script\\b[^>]*>.*?</script>', '', 'g'),
+                        '(?s)<style\\b[^>]*>.*?</style>', '', 'g') AS body
+  FROM pages),
+rules AS (
+  SELECT page_id, pos, regexp_extract(e, {o.q('(?i)' + STYLE_RULE_ESCAPED)}, 1) AS k,
+         regexp_extract(e, {o.q('(?i)' + STYLE_RULE_ESCAPED)}, 3) || regexp_extract(e, {o.q('(?i)' + STYLE_RULE_ESCAPED)}, 5)
+           || regexp_extract(e, {o.q('(?i)' + STYLE_RULE_ESCAPED)}, 7) AS v
+  FROM (SELECT page_id, unnest(string_split_regex(style_text, '\\s+')) AS e,
+               generate_subscripts(string_split_regex(style_text, '\\s+'), 1) AS pos FROM pg)
+  WHERE regexp_matches(e, {o.q('(?i)' + STYLE_RULE_ESCAPED)})),
+ps AS (
+  SELECT page_id, page_no, unnest(regexp_extract_all(body, '(?s)<p\\b[^>]*>.*?</p>', 0)) AS p0,
+         generate_subscripts(regexp_extract_all(body, '(?s)<p\\b[^>]*>.*?</p>', 0), 1) - 1 AS idx
+  FROM pg),
+pc AS (
+  SELECT page_id, page_no, idx,
+         trim(regexp_replace(regexp_replace(p0, '<br/>|<i>|<i/>|</i>|<b>|</b>|<b/>', '', 'g'), '\\s+', ' ', 'g')) AS p
+  FROM ps),
+pl AS (
+  SELECT page_id, page_no, idx, regexp_extract(p, '^<p[^>]*\\bclass="([^"]*)"', 1) AS css_class,
+         regexp_extract(p, '^<p[^>]*\\bstyle="([^"]*)"', 1) AS inline_style,
+         regexp_extract(p, '(?s)^<p[^>]*>(.*)</p>$', 1) AS text
+  FROM pc)
+SELECT pl.page_id, pl.page_no, pl.idx, pl.css_class,
+       (SELECT v FROM rules r WHERE r.page_id = pl.page_id AND r.k = pl.css_class ORDER BY pos DESC LIMIT 1) AS style_key,
+       pl.inline_style, pl.text
+FROM pl"""
+
+
+@register("html_lines", _HTML_SQL)
+def q_html_lines(spark, sf_dir):
+    return lay.html_lines(table(spark, sf_dir, "pages"))
+
+
+@register("agg_group_count", _L + "SELECT filename, style_key, count(*)::BIGINT AS cnt FROM layout GROUP BY ALL")
+def q_style_counts(spark, sf_dir):
+    return lay.style_counts(layout_lines(spark, sf_dir))
+
+
+@register(
+    "dominant_style",
+    _L + """, c AS (SELECT filename, style_key, count(*) AS cnt FROM layout GROUP BY ALL)
+SELECT filename, style_key AS para_style_key FROM c
+QUALIFY row_number() OVER (PARTITION BY filename ORDER BY cnt DESC, style_key ASC NULLS LAST) = 1""",
+)
+def q_dominant_style(spark, sf_dir):
+    return lay.dominant_style(layout_lines(spark, sf_dir))
+
+
+@register(
+    "window_rank_top1",
+    _L + """, c AS (SELECT filename, style_key, count(*) AS cnt FROM layout GROUP BY ALL)
+SELECT filename, style_key AS para_style_key FROM c QUALIFY rank() OVER (PARTITION BY filename ORDER BY cnt DESC) = 1""",
+)
+def q_rank_top1(spark, sf_dir):
+    return lay.dominant_style(layout_lines(spark, sf_dir), keep_ties=True)
+
+
+_FOOTER_BOXES_SQL = """fb AS (
+  SELECT file_id, page_num, x, w, count(*)::BIGINT AS cnt, min(y) AS min_y, max(y) AS max_y
+  FROM boxes WHERE w > 50 GROUP BY file_id, page_num, x, w
+  HAVING min(y) > 1000 AND (count(*) = 1 OR max(y) - min(y) > 150))"""
+
+
+@register("agg_having", _L + ", " + _FOOTER_BOXES_SQL + " SELECT * FROM fb")
+def q_footer_boxes(spark, sf_dir):
+    return lay.footer_boxes(line_boxes(spark, sf_dir))
+
+
+@register("footer_lines", _L + ", " + _FOOTER_BOXES_SQL + " SELECT file_id, page_num, min(min_y) AS footer_y FROM fb GROUP BY ALL")
+def q_footer_lines(spark, sf_dir):
+    return lay.footer_lines(line_boxes(spark, sf_dir))
+
+
+@register(
+    "table_cells",
+    _L + """, m AS (
+  SELECT l.filename, l.page_no, l.idx, l.top, c.row AS cell_row, c.y AS cell_y,
+         row_number() OVER (PARTITION BY l.filename, l.page_no, l.idx ORDER BY c.y NULLS LAST, c.row NULLS LAST, c.col NULLS LAST) AS rn
+  FROM layout l LEFT JOIN cells c ON l.filename = c.file_id AND l.page_no = c.page_num AND l.top >= c.y AND l.top <= c.y + c.h)
+SELECT filename, page_no, idx, top, cell_row, cell_y FROM m WHERE rn = 1""",
+)
+def q_table_cells(spark, sf_dir):
+    out = lay.line_cells(layout_lines(spark, sf_dir), table_cell_boxes(spark, sf_dir))
+    return out.select("filename", "page_no", "idx", "top", "cell_row", "cell_y")
+
+
+@register(
+    "window_neighbors",
+    _L + """, d AS (SELECT filename, style_key AS para_style_key FROM
+   (SELECT filename, style_key, count(*) AS cnt FROM layout GROUP BY ALL)
+   QUALIFY row_number() OVER (PARTITION BY filename ORDER BY cnt DESC, style_key ASC NULLS LAST) = 1)
+SELECT l.filename, l.page_no, l.idx,
+       count(*) OVER p AS n_lines,
+       max(CASE WHEN l.style_key = d.para_style_key AND trim(l.text) <> '' THEN l.idx END) OVER p AS last_para_idx,
+       lag(l.style_key) OVER w AS prev_style, lead(l.style_key) OVER w AS next_style,
+       lag(l.top) OVER w AS prev_top, lead(l.top) OVER w AS next_top
+FROM layout l LEFT JOIN d USING (filename)
+WINDOW p AS (PARTITION BY l.filename, l.page_no), w AS (PARTITION BY l.filename, l.page_no ORDER BY l.idx)""",
+)
+def q_window_neighbors(spark, sf_dir):
+    lines = layout_lines(spark, sf_dir)
+    f = lay.line_features(lines, lay.dominant_style(lines), None, None)
+    return f.select("filename", "page_no", "idx", "n_lines", "last_para_idx", "prev_style", "next_style",
+                    "prev_top", "next_top")
+
+
+def _paragraphs(spark, sf_dir, strict=False):
+    lines = layout_lines(spark, sf_dir)
+    feats = lay.line_features(
+        lines, lay.dominant_style(lines), lay.footer_lines(line_boxes(spark, sf_dir)), table_cell_boxes(spark, sf_dir)
+    )
+    return lay.paragraph_assemble(feats, strict=strict)
+
+
+@register("paragraph_assemble")
+def q_paragraph_assemble(spark, sf_dir):
+    return _paragraphs(spark, sf_dir)
+
+
+@register("line_position")
+def q_line_position(spark, sf_dir):
+    return _paragraphs(spark, sf_dir).groupBy("para_position").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("paragraph_stitch")
+def q_paragraph_stitch(spark, sf_dir):
+    return lay.paragraph_stitch(_paragraphs(spark, sf_dir))
