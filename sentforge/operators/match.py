@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,8 +120,10 @@ def near_match(
     ``< threshold``.  Output: ``ik_sentence``, ``pdf_sentence``,
     ``confidence`` (the distance; 0 = same bigram set)."""
     s = 1.0 - threshold
-    a = _sets(stored, stored_col, strict)
-    b = _sets(landed, landed_col, strict)
+    # The sets feed two jobs (vocabulary, then the join): persist them once
+    # (memory + disk; lost blocks are recomputed from lineage).
+    a = _sets(stored, stored_col, strict).persist(StorageLevel.MEMORY_AND_DISK)
+    b = _sets(landed, landed_col, strict).persist(StorageLevel.MEMORY_AND_DISK)
     ranks = bigram_ranks(a, b, broadcast_rows)
     a, b = _ranked(a, ranks), _ranked(b, ranks)
 

@@ -1,0 +1 @@
+"""File readers and writers."""

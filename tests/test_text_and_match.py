@@ -1,0 +1,101 @@
+from pyspark.sql import functions as F
+
+from sentforge.functions import text as T
+from sentforge.operators.match import exact_match, near_match, near_match_lsh, prefix_length
+
+
+def _one(spark, expr, value, typ="string"):
+    return spark.createDataFrame([(value,)], f"x {typ}").select(expr(F.col("x")).alias("y")).first().y
+
+
+def test_text_fixtures(spark):
+    assert _one(spark, T.normal_form, "The Appeal, is ALLOWED!") == "the appeal is allowed"
+    assert _one(spark, T.normal_form, "नमस्ते दुनिया").strip() == ""
+    assert _one(spark, T.word_count, "") == 1
+    assert _one(spark, T.word_count, "a  b") == 3
+    assert _one(spark, T.word_count, None) is None
+    assert _one(spark, T.strip_chars, "'(a b)>") == "a b"
+    assert _one(spark, T.strip_chars, '“quoted” "x"') == "quoted x"
+    assert _one(spark, lambda c: T.has_letter(c, strict=True), ",,") is True
+    assert _one(spark, T.has_letter, ",,") is False
+    assert _one(spark, T.squeeze_spaces, "  a \t b\n c ") == "a b c"
+    assert _one(spark, T.strip_inline_tags, "<b>x</b><br/>y<i/>") == "xy"
+    assert _one(spark, T.html_page_basename, "/a/b/ex1--25.html") == "ex1"
+    assert _one(spark, lambda c: T.image_name_part(c, 1), "/p/file9-007.png") == "/p/file9"
+    assert _one(spark, lambda c: T.image_name_part(c, 4), "/p/file9-007.png") == "7"
+    assert _one(spark, T.route_by_extension, "/in/a.PDF") == "pdf_processing"
+    assert _one(spark, T.route_by_extension, "/in/a.csv") == "csv_token_extractor"
+    assert _one(spark, T.route_by_extension, "/in/a.xml") == "txt_processing"
+    assert _one(spark, T.sentence_end, "the company pvt.") is False
+    assert _one(spark, T.sentence_end, "the company Pvt.") is True
+    assert _one(spark, T.sentence_end, "state vs.") is False
+    assert _one(spark, T.sentence_end, "This ends here.") is True
+    assert _one(spark, lambda c: T.css_int(c, "top"), "position:absolute;top:40px;left:7px") == 40
+    assert _one(spark, lambda c: T.css_int(c, "left"), "color:red") == -1
+
+
+def test_char_bigrams(spark):
+    got = _one(spark, T.char_bigrams, "Abab")
+    assert sorted(got) == ["ab", "ba"]
+    assert _one(spark, T.char_bigrams, "a") == []
+
+
+def test_near_match_fixture(spark):
+    a = spark.createDataFrame([("Hello world abc",), ("A",), ("zzzz qqqq",)], "sentence string")
+    b = spark.createDataFrame([("hello world abd",), ("B",), ("Hello world abc",)], "sentence string")
+    rows = {(r.ik_sentence, r.pdf_sentence): r.confidence for r in near_match(a, b, 0.5).collect()}
+    assert abs(rows[("Hello world abc", "hello world abd")] - 2 / 15) < 1e-9
+    assert rows[("Hello world abc", "Hello world abc")] == 0.0
+    assert len(rows) == 2
+
+
+def test_near_match_equals_brute_force(spark):
+    import random
+
+    rnd = random.Random(3)
+    words = ["ab", "cd", "abc", "bcd", "x", "yz", "abd"]
+    sa = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 5))) for _ in range(60)]
+    sb = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 5))) for _ in range(60)]
+
+    def grams(s):
+        s = s.lower()
+        return {s[i:i + 2] for i in range(len(s) - 1)}
+
+    want = set()
+    for x in set(sa):
+        for y in set(sb):
+            gx, gy = grams(x), grams(y)
+            if len(x) >= 2 and len(y) >= 2:
+                d = 1 - len(gx & gy) / len(gx | gy)
+                if d < 0.4:
+                    want.add((x, y, round(d, 9)))
+    a = spark.createDataFrame([(s,) for s in sa], "sentence string")
+    b = spark.createDataFrame([(s,) for s in sb], "sentence string")
+    got = {(r.ik_sentence, r.pdf_sentence, round(r.confidence, 9)) for r in near_match(a, b, 0.4).collect()}
+    assert got == want
+    # the hash-order path (vocabulary over the broadcast bound) is exact too
+    got2 = {(r.ik_sentence, r.pdf_sentence, round(r.confidence, 9))
+            for r in near_match(a, b, 0.4, broadcast_rows=1).collect()}
+    assert got2 == want
+
+
+def test_lsh_is_subset_of_exact_up_to_hashing(spark):
+    a = spark.createDataFrame([("the appeal is allowed",), ("entirely different words",)], "sentence string")
+    b = spark.createDataFrame([("the appeal is allowed!",), ("x",)], "sentence string")
+    lsh = {(r.ik_sentence, r.pdf_sentence) for r in near_match_lsh(a, b, 0.5).collect()}
+    exact = {(r.ik_sentence, r.pdf_sentence) for r in near_match(a, b, 0.5).collect()}
+    assert lsh <= exact
+
+
+def test_prefix_length():
+    assert prefix_length(10, 0.5) == 6
+    assert prefix_length(1, 0.5) == 1
+
+
+def test_exact_match_null_and_empty_never_match(spark):
+    l = spark.createDataFrame([("f", None), ("f", "॥ ॥ ॥ ॥ ॥ ॥"), ("f", "The appeal is allowed in part.")],
+                              "filename string, sentence string")
+    r = spark.createDataFrame([(None,), ("॥",), ("the appeal, is allowed in part",)], "sentence string")
+    rows = exact_match(l, r).collect()
+    assert [(x.pdf_sentence, x.ik_sentence) for x in rows] == [
+        ("The appeal is allowed in part.", "the appeal, is allowed in part")]
