@@ -48,8 +48,9 @@ def main() -> None:
             build(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        run()
+        warm = run()
         times[name] = round(statistics.median(run() for _ in range(reps)), 3)
+        print(f"[bench] {name}: warm-up {warm:.2f}s, median {times[name]:.2f}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_query_seconds_sum",

@@ -14,8 +14,9 @@ planner from its size estimate.
    a static 64-bit hash order is used natively (still exact, less pruning);
 3. prefix of length ``n - ceil(s*n) + 1`` (s = 1 - threshold), exploded;
    equi join on the prefix token with the length filter
-   ``s*|a| <= |b| <= |a|/s`` in the join condition; a pair is emitted only at
-   its smallest shared prefix token, so no dedupe shuffle is needed;
+   ``s*|a| <= |b| <= |a|/s`` and the positional filter in the join
+   condition; a pair is emitted only at its smallest shared prefix token, so
+   no dedupe shuffle is needed;
 4. verify the exact Jaccard distance and keep ``distance < threshold``.
 
 ``near_match_lsh``: the MLlib MinHash LSH pipeline (approximate, hashed
@@ -149,8 +150,11 @@ def near_match(
         pb["b_n"] * F.lit(s) <= pa["a_n"] + eps,
         reach >= need,
     ]
+    # Emit a pair only at its smallest shared prefix token: no token before
+    # this position in one prefix occurs before it in the other (both prefixes
+    # are sorted by rank) - slices keep the test short for early matches.
     cand = pa.join(pb, cond, "inner").filter(
-        F.col("a_tok") == F.array_min(F.array_intersect("a_prefix", "b_prefix"))
+        ~F.arrays_overlap(F.slice("a_prefix", 1, F.col("a_pos")), F.slice("b_prefix", 1, F.col("b_pos")))
     )
     inter = F.size(F.array_intersect("a_ranks", "b_ranks"))
     dist = F.lit(1.0) - inter.cast("double") / (F.col("a_n") + F.col("b_n") - inter).cast("double")
