@@ -25,10 +25,13 @@ bigrams, fixed seed).
 
 from __future__ import annotations
 
+import sys
+
 import math
 
 import pandas as pd
 from pyspark import StorageLevel
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -209,3 +212,8 @@ def prefix_length(n: int, threshold: float) -> int:
     """Python mirror of the prefix length (used by tests)."""
     s = 1.0 - threshold
     return n - math.ceil(s * n - 1e-9) + 1
+
+
+# Functions of this module run inside Python workers; ship them by value so
+# executors do not need this package installed (no --py-files required).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
