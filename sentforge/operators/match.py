@@ -8,7 +8,7 @@ planner from its size estimate.
 ``near_match``: exact set-similarity join (prefix filtering, AllPairs):
 1. distinct texts per side -> set of character bigrams;
 2. global bigram order = (document frequency, bigram), computed with one
-   partial aggregation; when the vocabulary is under a checked bound it is
+   partial aggregation; when the vocabulary is under a checked bound (1M) it is
    broadcast and each set becomes a sorted int array of ranks in-row
    (Arrow-batched pandas UDF, a dictionary lookup per bigram); beyond the bound
    a static 64-bit hash order is used natively (still exact, less pruning);
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from sentforge.functions.text import char_bigrams, has_letter, normal_form, word_count
 
-VOCAB_BROADCAST_ROWS = 5_000_000
+VOCAB_BROADCAST_ROWS = 1_000_000  # ~100 MB of dictionary on the driver at most
 
 
 def exact_match(

@@ -27,33 +27,3 @@ def first_by_order(df: DataFrame, partition_cols: Sequence[str], order_cols: Seq
     """First row per group under a total order (``row_number() = 1``)."""
     w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
-def first_containing_interval(
-    points: DataFrame,
-    intervals: DataFrame,
-    keys: Sequence[str],
-    point_col: str,
-    start_col: str,
-    length_col: str,
-    order_cols: Sequence[str],
-) -> DataFrame:
-    """Attach to each point the first interval (by ``order_cols``) of the same
-    key with ``start <= point <= start + length``; points without one keep
-    NULL interval columns.
-
-    Equi join on ``keys`` plus a range predicate, then one winner per point via
-    ``min_by`` on a struct of the order columns - no per-key collection.
-    Points must carry a unique ``_pid``.
-    """
-    iv_cols = [c for c in intervals.columns if c not in keys]
-    cond = [points[k] == intervals[k] for k in keys] + [
-        points[point_col] >= intervals[start_col],
-        points[point_col] <= intervals[start_col] + intervals[length_col],
-    ]
-    matched = points.select("_pid", *keys, point_col).alias("p").join(intervals.alias("i"), cond, "inner")
-    order = F.struct(*[F.col("i." + c) for c in order_cols])
-    best = matched.groupBy(F.col("p._pid").alias("_pid")).agg(
-        F.min_by(F.struct(*[F.col("i." + c).alias(c) for c in iv_cols]), order).alias("_cell")
-    )
-    return points.join(best, "_pid", "left").select(*points.columns, *[F.col("_cell." + c).alias(c) for c in iv_cols])
