@@ -58,11 +58,14 @@ def exact_match(
         left.filter(has_letter(lt, strict))
         .filter(word_count(lt) > min_words)
         .select(lt.alias("pdf_sentence"), normal_form(lt).alias("_clean"), *left_keep)
-        .filter(F.col("_clean") != "")
     )
     rt = F.col(right_text)
     r = right.filter(has_letter(rt, strict)).select(rt.alias("ik_sentence"), normal_form(rt).alias("_clean"))
-    r = r.filter(F.col("_clean") != "")
+    if strict:
+        # the strict letter class also accepts a lone comma, whose normal
+        # form is empty; by default an ASCII letter guarantees a non-empty
+        # normal form (and the test is not repeated per row)
+        l, r = l.filter(F.col("_clean") != ""), r.filter(F.col("_clean") != "")
     return l.join(r, "_clean").select(
         "pdf_sentence", "ik_sentence", F.sha2(F.col("_clean"), 256).alias("norm_hash"), *left_keep
     )

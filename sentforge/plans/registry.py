@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sentforge.operators import sentences as sent
 from sentforge.operators import tokens as tok
 from sentforge.plans import oracle_sql as o
-from sentforge.plans.tables import default_tokens, doc_lines, table
+from sentforge.plans.tables import default_tokens, doc_lines, documents, spread, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -37,7 +37,7 @@ def _with(*ctes: str) -> str:
 
 # ---------------------------------------------------------------- tokens ----
 def neg_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tok.negative_tokens(table(spark, sf_dir, "documents"), default_tokens(spark))
+    return tok.negative_tokens(documents(spark, sf_dir), default_tokens(spark))
 
 
 register("negative_tokens", _with(o.negative_tokens_cte()) + "SELECT token FROM neg_tokens")(neg_tokens)
@@ -426,7 +426,7 @@ def layout_lines(spark, sf_dir):
 
 
 def line_boxes(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     return li.select(
         F.concat(F.lit("doc"), (F.col("l_orderkey") % 1000).cast("string")).alias("file_id"),
         F.col("l_linenumber").cast("int").alias("page_num"),
@@ -497,7 +497,7 @@ FROM pl"""
 
 @register("html_lines", _HTML_SQL)
 def q_html_lines(spark, sf_dir):
-    return lay.html_lines(table(spark, sf_dir, "pages"))
+    return lay.html_lines(spread(table(spark, sf_dir, "pages"), "page_id"))
 
 
 @register("agg_group_count", _L + "SELECT filename, style_key, count(*)::BIGINT AS cnt FROM layout GROUP BY ALL")
