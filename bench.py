@@ -48,13 +48,18 @@ def main() -> None:
             build(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        warm = run()
-        times[name] = round(statistics.median(run() for _ in range(reps)), 3)
+        try:
+            warm = run()
+            times[name] = round(statistics.median(run() for _ in range(reps)), 3)
+        except Exception as e:  # noqa: BLE001 - report, keep the other queries
+            print(f"[bench] {name} FAILED: {type(e).__name__}: {str(e)[:300]}", file=sys.stderr, flush=True)
+            times[name] = None
+            continue
         print(f"[bench] {name}: warm-up {warm:.2f}s, median {times[name]:.2f}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_query_seconds_sum",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,

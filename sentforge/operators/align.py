@@ -94,9 +94,11 @@ def language_pivot(
     rows, each of bounded width.  Untranslated sentences get one row with
     ``k`` and every language NULL.
     """
+    # One shuffle by sentence serves the dedupe, the per-(sentence, language)
+    # numbering, the pivot aggregation and the join with the clean list.
     d = aligned.select(lang_col, "src_sentence", "tgt_sentence").filter(
         F.col(lang_col).isin(*languages) & F.col("tgt_sentence").isNotNull()
-    ).distinct()
+    ).repartition("src_sentence").distinct()
     w = Window.partitionBy("src_sentence", lang_col).orderBy("tgt_sentence")
     ranked = d.withColumn("k", F.row_number().over(w).cast("bigint"))
     wide = ranked.groupBy("src_sentence", "k").pivot(lang_col, list(languages)).agg(F.first("tgt_sentence"))

@@ -41,13 +41,20 @@ def dedupe_by_key(rows: DataFrame) -> DataFrame:
     return rows.groupBy("key").agg(F.max(payload).alias("_p")).select("key", "_p.*").select(*MEMORY_COLUMNS)
 
 
+def _keyed_requests(requests: DataFrame, target_language: str, text_col: str) -> DataFrame:
+    """Distinct non-NULL requests with their memory key, hash-partitioned by
+    the key: the dedupe and the join with the memory share one shuffle."""
+    r = requests.select(F.col(text_col).alias("source_sentence")).filter(F.col("source_sentence").isNotNull())
+    r = r.withColumn("key", memory_key(F.lit(target_language), F.col("source_sentence")))
+    return r.repartition("key").distinct()
+
+
 def memory_lookup(
     requests: DataFrame, memory: DataFrame, target_language: str, text_col: str = "sentence"
 ) -> DataFrame:
     """Distinct requests with ``target_sentence`` and ``hit``.  A missing key,
     NULL or empty stored text is a miss (``target_sentence`` NULL)."""
-    r = requests.select(F.col(text_col).alias("source_sentence")).filter(F.col("source_sentence").isNotNull()).distinct()
-    r = r.withColumn("key", memory_key(F.lit(target_language), F.col("source_sentence")))
+    r = _keyed_requests(requests, target_language, text_col)
     m = memory.select("key", F.col("target_sentence").alias("_t")).filter(F.col("_t").isNotNull() & (F.col("_t") != ""))
     j = r.join(m, "key", "left")
     return j.select("source_sentence", F.col("_t").alias("target_sentence"), F.col("_t").isNotNull().alias("hit"))
@@ -57,8 +64,7 @@ def memory_misses(
     requests: DataFrame, memory: DataFrame, target_language: str, text_col: str = "sentence"
 ) -> DataFrame:
     """Distinct requests without a usable translation (left-anti join)."""
-    r = requests.select(F.col(text_col).alias("source_sentence")).filter(F.col("source_sentence").isNotNull()).distinct()
-    r = r.withColumn("key", memory_key(F.lit(target_language), F.col("source_sentence")))
+    r = _keyed_requests(requests, target_language, text_col)
     m = memory.filter(F.col("target_sentence").isNotNull() & (F.col("target_sentence") != "")).select("key")
     return r.join(m, "key", "left_anti").select("source_sentence")
 

@@ -53,3 +53,24 @@ def test_entry_and_registry_contract(spark):
     assert df.columns == ["sentence", "n"]
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_binary_documents_text_append_insert(spark):
+    d = _tmp()
+    with open(d + "/img-007.png", "wb") as f:
+        f.write(b"\x89PNG\r\n")
+    b = R.read_binary_files(spark, d + "/*.png").collect()
+    assert bytes(b[0].content) == b"\x89PNG\r\n"
+    with open(d + "/people.json", "w") as f:
+        f.write('{"_id": {"oid": "5f7f"}, "firstname": "JULIA", "lastname": "50"}\n')
+    docs = R.read_documents(spark, d + "/people.json", "_id struct<oid:string>, firstname string, lastname string")
+    assert docs.filter(F.col("_id.oid") == "5f7f").first().firstname == "JULIA"
+    S.append(docs, d + "/coll", fmt="json")
+    S.append(docs, d + "/coll", fmt="json")
+    assert spark.read.json(d + "/coll").count() == 2
+    S.write_text(docs.select("firstname"), d + "/txt", single_file=True)
+    assert [r.token for r in R.read_stage_output(spark, d + "/txt").collect()] == ["JULIA"]
+    spark.sql(f"CREATE TABLE IF NOT EXISTS sf_pairs (src STRING, tgt STRING) USING parquet LOCATION '{d}/tbl'")
+    S.insert_into(spark.createDataFrame([("a", "b")], "src string, tgt string"), "sf_pairs")
+    assert [tuple(r) for r in spark.table("sf_pairs").collect()] == [("a", "b")]
+    spark.sql("DROP TABLE sf_pairs")
