@@ -15,9 +15,10 @@ planner from its size estimate.
 3. prefix of length ``n - ceil(s*n) + 1`` (s = 1 - threshold), exploded;
    equi join on the prefix token with the length filter
    ``s*|a| <= |b| <= |a|/s`` and the positional filter in the join
-   condition; a pair is emitted only at its smallest shared prefix token, so
-   no dedupe shuffle is needed;
-4. verify the exact Jaccard distance and keep ``distance < threshold``.
+   condition, on narrow integer rows (set id, size, position, token);
+   candidate pairs are deduplicated by a partial aggregation;
+4. the rank arrays are joined back for the surviving pairs only, the exact
+   Jaccard distance is verified and ``distance < threshold`` kept.
 
 ``near_match_lsh``: the MLlib MinHash LSH pipeline (approximate, hashed
 bigrams, fixed seed).
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentforge.functions.text import char_bigrams, has_letter, normal_form, word_count
+from sentforge.session import cut_lineage
 
 VOCAB_BROADCAST_ROWS = 1_000_000  # ~100 MB of dictionary on the driver at most
 
@@ -127,27 +129,29 @@ def near_match(
     ``< threshold``.  Output: ``ik_sentence``, ``pdf_sentence``,
     ``confidence`` (the distance; 0 = same bigram set)."""
     s = 1.0 - threshold
-    # The sets feed two jobs (vocabulary, then the join): persist them once
+    # The sets feed the vocabulary job and the join: persist them once
     # (memory + disk; lost blocks are recomputed from lineage).
     a = _sets(stored, stored_col, strict).persist(StorageLevel.MEMORY_AND_DISK)
     b = _sets(landed, landed_col, strict).persist(StorageLevel.MEMORY_AND_DISK)
     ranks = bigram_ranks(a, b, broadcast_rows)
-    a, b = _ranked(a, ranks), _ranked(b, ranks)
+    # Integer ids keep the candidate rows narrow; the sets are checkpointed
+    # (reliable storage) so the ids cannot change if a task is recomputed.
+    a = cut_lineage(_ranked(a, ranks).withColumn("id", F.monotonically_increasing_id()).drop("grams"))
+    b = cut_lineage(_ranked(b, ranks).withColumn("id", F.monotonically_increasing_id()).drop("grams"))
 
-    def prefixed(df: DataFrame, tag: str) -> DataFrame:
+    def postings(df: DataFrame, tag: str) -> DataFrame:
         n = F.size("ranks")
         p = n - F.ceil(F.lit(s) * n - F.lit(1e-9)).cast("int") + 1
         return df.select(
-            F.col("text").alias(f"{tag}_text"),
-            F.col("ranks").alias(f"{tag}_ranks"),
-            n.alias(f"{tag}_n"),
-            F.slice("ranks", 1, p).alias(f"{tag}_prefix"),
-        ).select("*", F.posexplode(f"{tag}_prefix").alias(f"{tag}_pos", f"{tag}_tok"))
+            F.col("id").alias(f"{tag}_id"), n.alias(f"{tag}_n"),
+            F.posexplode(F.slice("ranks", 1, p)).alias(f"{tag}_pos", f"{tag}_tok"),
+        )
 
-    pa, pb = prefixed(a, "a"), prefixed(b, "b")
+    pa, pb = postings(a, "a"), postings(b, "b")
     eps = 1e-9
     # Overlap needed for similarity >= s, and the most a pair can still reach
-    # when this token is its first shared one (positional filter).
+    # from this shared token on if it is the pair's first shared one
+    # (positional filter: a similar pair always passes at its first token).
     need = F.ceil(F.lit(s / (1.0 + s)) * (pa["a_n"] + pb["b_n"]) - F.lit(eps))
     reach = F.least(pa["a_n"] - pa["a_pos"], pb["b_n"] - pb["b_pos"])
     cond = [
@@ -156,18 +160,15 @@ def near_match(
         pb["b_n"] * F.lit(s) <= pa["a_n"] + eps,
         reach >= need,
     ]
-    # Emit a pair only at its smallest shared prefix token: no token before
-    # this position in one prefix occurs before it in the other (both prefixes
-    # are sorted by rank) - slices keep the test short for early matches.
-    cand = pa.join(pb, cond, "inner").filter(
-        ~F.arrays_overlap(F.slice("a_prefix", 1, F.col("a_pos")), F.slice("b_prefix", 1, F.col("b_pos")))
-    )
+    # candidate pairs: narrow rows, deduplicated by a partial aggregation
+    pairs = pa.join(pb, cond, "inner").select("a_id", "b_id").distinct()
+    av = a.select(F.col("id").alias("a_id"), F.col("text").alias("ik_sentence"), F.col("ranks").alias("a_ranks"))
+    bv = b.select(F.col("id").alias("b_id"), F.col("text").alias("pdf_sentence"), F.col("ranks").alias("b_ranks"))
+    full = pairs.join(av, "a_id").join(bv, "b_id")
     inter = F.size(F.array_intersect("a_ranks", "b_ranks"))
-    dist = F.lit(1.0) - inter.cast("double") / (F.col("a_n") + F.col("b_n") - inter).cast("double")
-    return (
-        cand.select(F.col("a_text").alias("ik_sentence"), F.col("b_text").alias("pdf_sentence"), dist.alias("confidence"))
-        .filter(F.col("confidence") < threshold)
-    )
+    union = F.size("a_ranks") + F.size("b_ranks") - inter
+    dist = F.lit(1.0) - inter.cast("double") / union.cast("double")
+    return full.select("ik_sentence", "pdf_sentence", dist.alias("confidence")).filter(F.col("confidence") < threshold)
 
 
 def near_match_lsh(
