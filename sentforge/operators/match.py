@@ -14,9 +14,10 @@ planner from its size estimate.
    a static 64-bit hash order is used natively (still exact, less pruning);
 3. prefix of length ``n - ceil(s*n) + 1`` (s = 1 - threshold), exploded;
    equi join on the prefix token with the length filter
-   ``s*|a| <= |b| <= |a|/s`` and the positional filter in the join
-   condition, on narrow integer rows (set id, size, position, token);
-   candidate pairs are deduplicated by a partial aggregation;
+   ``s*|a| <= |b| <= |a|/s`` in the join condition, on narrow integer rows
+   (set id, size, position, token); one partial aggregation per candidate
+   pair counts shared prefix tokens, and a positional upper bound on the
+   overlap drops hopeless pairs;
 4. the rank arrays are joined back for the surviving pairs only, the exact
    Jaccard distance is verified and ``distance < threshold`` kept.
 
@@ -149,19 +150,24 @@ def near_match(
 
     pa, pb = postings(a, "a"), postings(b, "b")
     eps = 1e-9
-    # Overlap needed for similarity >= s, and the most a pair can still reach
-    # from this shared token on if it is the pair's first shared one
-    # (positional filter: a similar pair always passes at its first token).
-    need = F.ceil(F.lit(s / (1.0 + s)) * (pa["a_n"] + pb["b_n"]) - F.lit(eps))
-    reach = F.least(pa["a_n"] - pa["a_pos"], pb["b_n"] - pb["b_pos"])
     cond = [
         pa["a_tok"] == pb["b_tok"],
         pb["b_n"] >= F.lit(s) * pa["a_n"] - eps,
         pb["b_n"] * F.lit(s) <= pa["a_n"] + eps,
-        reach >= need,
     ]
-    # candidate pairs: narrow rows, deduplicated by a partial aggregation
-    pairs = pa.join(pb, cond, "inner").select("a_id", "b_id").distinct()
+    # Candidate pairs on narrow rows, one partial aggregation per pair: the
+    # shared prefix tokens and the positions of the last one.  A common token
+    # not counted is larger than that last one, so it lies after both
+    # positions: overlap <= shared + min(remaining a, remaining b).  Pairs
+    # below the overlap a similarity >= s needs are dropped before any array
+    # is touched.
+    agg = pa.join(pb, cond, "inner").groupBy("a_id", "b_id").agg(
+        F.count(F.lit(1)).alias("shared"), F.max("a_pos").alias("ia"), F.max("b_pos").alias("ib"),
+        F.first("a_n").alias("a_n"), F.first("b_n").alias("b_n"),
+    )
+    need = F.ceil(F.lit(s / (1.0 + s)) * (F.col("a_n") + F.col("b_n")) - F.lit(eps))
+    bound = F.col("shared") + F.least(F.col("a_n") - F.col("ia") - 1, F.col("b_n") - F.col("ib") - 1)
+    pairs = agg.filter(bound >= need).select("a_id", "b_id")
     av = a.select(F.col("id").alias("a_id"), F.col("text").alias("ik_sentence"), F.col("ranks").alias("a_ranks"))
     bv = b.select(F.col("id").alias("b_id"), F.col("text").alias("pdf_sentence"), F.col("ranks").alias("b_ranks"))
     full = pairs.join(av, "a_id").join(bv, "b_id")
