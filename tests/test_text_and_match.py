@@ -99,3 +99,22 @@ def test_exact_match_null_and_empty_never_match(spark):
     rows = exact_match(l, r).collect()
     assert [(x.pdf_sentence, x.ik_sentence) for x in rows] == [
         ("The appeal is allowed in part.", "the appeal, is allowed in part")]
+
+
+def test_exact_pairs_are_near_pairs_at_distance_zero(spark):
+    lines = ["The appeal is allowed in part.", "THE APPEAL, is allowed in part", "Costs are not awarded here today",
+             "costs are NOT awarded here today!", "x"]
+    ref = ["the appeal is allowed in part", "Costs are not awarded here today", "unrelated words only"]
+    l = spark.createDataFrame([("f", t) for t in lines], "filename string, sentence string")
+    r = spark.createDataFrame([(t,) for t in ref], "sentence string")
+    exact = {(T_nf(x.ik_sentence), T_nf(x.pdf_sentence)) for x in exact_match(l, r).collect()}
+    ln = l.select(T.normal_form("sentence").alias("sentence")).filter(F.length("sentence") >= 2)
+    rn = r.select(T.normal_form("sentence").alias("sentence")).filter(F.length("sentence") >= 2)
+    near0 = {(x.ik_sentence, x.pdf_sentence) for x in near_match(rn, ln, 0.5).collect() if x.confidence == 0.0}
+    assert exact and exact <= near0
+
+
+def T_nf(s):
+    import re
+
+    return re.sub("[^a-zA-Z0-9 ]+", "", s.lower())
