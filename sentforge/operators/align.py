@@ -48,7 +48,9 @@ def align_filtered(
     """
     c = clean.select(normal_form(clean_text).alias("_norm")).filter(F.col("_norm") != "")
     s = src.select(*keys, *carry, normal_form(src_text).alias("src_sentence"))
-    s = s.join(c, s["src_sentence"] == c["_norm"], "left_semi")
+    # '' (blank or non-Latin lines) can never match a clean sentence; dropping
+    # it first keeps that very common key out of the semi join's shuffle
+    s = s.filter(F.col("src_sentence") != "").join(c, F.col("src_sentence") == c["_norm"], "left_semi")
     t = tgt.select(*keys, F.col(tgt_text).alias("tgt_sentence"))
     return s.join(t, list(keys)).select(*carry, "src_sentence", "tgt_sentence").distinct()
 
@@ -89,18 +91,28 @@ def language_pivot(
 
     ``aligned``: (``lang``, ``src_sentence`` normal form, ``tgt_sentence``).
     Instead of a chain of left joins, which emits the Cartesian product of all
-    translations of a sentence, the k-th smallest distinct translation of each
-    language shares row ``k`` (1-based): a sentence gets max-per-language
-    rows, each of bounded width.  Untranslated sentences get one row with
-    ``k`` and every language NULL.
+    translations of a sentence, the distinct translations of each language
+    are numbered ``k = 1..m`` and translations with the same ``k`` share a row:
+    a sentence gets max-per-language rows, each of bounded width.
+    Untranslated sentences get one row with ``k`` and every language NULL.
+
+    Numbering order: (first two hex digits of sha-256(translation),
+    translation).  The digits split every (sentence, language) group into up
+    to 256 sub-groups numbered in parallel plus a per-group offset table of at
+    most 256 rows, so a sentence with a huge number of translations is not
+    numbered by one task.
     """
-    # One shuffle by sentence serves the dedupe, the per-(sentence, language)
-    # numbering, the pivot aggregation and the join with the clean list.
     d = aligned.select(lang_col, "src_sentence", "tgt_sentence").filter(
         F.col(lang_col).isin(*languages) & F.col("tgt_sentence").isNotNull()
-    ).repartition("src_sentence").distinct()
-    w = Window.partitionBy("src_sentence", lang_col).orderBy("tgt_sentence")
-    ranked = d.withColumn("k", F.row_number().over(w).cast("bigint"))
+    ).distinct()
+    d = d.withColumn("_b", F.substring(F.sha2(F.col("tgt_sentence"), 256), 1, 2))
+    group = ["src_sentence", lang_col]
+    counts = d.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group, "_b", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*group, "_b").orderBy("tgt_sentence")
+    ranked = d.join(offsets, [*group, "_b"]).withColumn(
+        "k", (F.col("_off") + F.row_number().over(w)).cast("bigint"))
     wide = ranked.groupBy("src_sentence", "k").pivot(lang_col, list(languages)).agg(F.first("tgt_sentence"))
     c = clean.select(F.col(clean_text).alias("pdf_sentence"), normal_form(clean_text).alias("_norm"))
     j = c.join(wide, c["_norm"] == wide["src_sentence"], "left")

@@ -42,11 +42,11 @@ def dedupe_by_key(rows: DataFrame) -> DataFrame:
 
 
 def _keyed_requests(requests: DataFrame, target_language: str, text_col: str) -> DataFrame:
-    """Distinct non-NULL requests with their memory key, hash-partitioned by
-    the key: the dedupe and the join with the memory share one shuffle."""
+    """Distinct non-NULL requests with their memory key.  The dedupe runs as
+    a partial aggregation first, so a request repeated in a large share of
+    the rows collapses map-side before any shuffle."""
     r = requests.select(F.col(text_col).alias("source_sentence")).filter(F.col("source_sentence").isNotNull())
-    r = r.withColumn("key", memory_key(F.lit(target_language), F.col("source_sentence")))
-    return r.repartition("key").distinct()
+    return r.distinct().withColumn("key", memory_key(F.lit(target_language), F.col("source_sentence")))
 
 
 def memory_lookup(

@@ -71,9 +71,15 @@ def sentence_split(
     if abbreviations is not None:
         abbr = abbreviations.select(F.col(abbreviations.columns[0]).alias("_abbr")).distinct()
         abbr = broadcast_if_small(abbr, broadcast_rows)
-        pieces = pieces.join(abbr, pieces["_stem"] == abbr["_abbr"], "left").withColumn(
-            "_glue", F.col("_abbr").isNotNull() & (F.col("_stem") != "")
-        )
+        # Only pieces ending in a period can glue.  The others get a unique
+        # join key that no abbreviation can equal (it starts with \x01), so
+        # when the table is too large to broadcast they spread evenly instead
+        # of piling up on the partition of the NULL key.
+        has_stem = F.col("_stem").isNotNull() & (F.col("_stem") != "")
+        unique = F.concat_ws("\x01", F.lit(""), *[k.cast("string") for k in keys], F.col("piece_no").cast("string"))
+        pieces = pieces.withColumn("_jk", F.when(has_stem, F.col("_stem")).otherwise(unique))
+        pieces = pieces.join(abbr, F.col("_jk") == abbr["_abbr"], "left").withColumn(
+            "_glue", F.col("_abbr").isNotNull()).drop("_jk", "_abbr")
     else:
         pieces = pieces.withColumn("_glue", F.lit(False))
     w = Window.partitionBy(*keys).orderBy("piece_no")

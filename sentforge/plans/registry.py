@@ -190,7 +190,8 @@ _PIVOT_SQL = _with(*_ALIGN_CTES) + f"""
 , t AS (SELECT doc_id, line_no - 1 AS line_no, line AS tgt_sentence FROM doc_lines)
 , al AS (SELECT DISTINCT lang, src_sentence, tgt_sentence FROM s JOIN t USING (doc_id, line_no)
          WHERE tgt_sentence IS NOT NULL)
-, r AS (SELECT *, row_number() OVER (PARTITION BY src_sentence, lang ORDER BY tgt_sentence) AS k FROM al)
+, r AS (SELECT *, row_number() OVER (PARTITION BY src_sentence, lang
+                                      ORDER BY substr(sha256(tgt_sentence), 1, 2), tgt_sentence) AS k FROM al)
 , w AS (SELECT src_sentence, k, {', '.join(f"max(CASE WHEN lang = '{x}' THEN tgt_sentence END) AS {x}" for x in al.LANGUAGES)}
         FROM r GROUP BY src_sentence, k)
 SELECT b.line AS pdf_sentence, w.k, {', '.join('w.' + x for x in al.LANGUAGES)}
