@@ -15,6 +15,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentforge.operators.relational import broadcast_if_small
+
 # ---------------------------------------------------------------------------
 # The default token-extraction rules and extra tokens of the
 # reference configuration, verbatim and in their original order.
@@ -31,6 +33,8 @@ DEFAULT_MIN_LEN = 3
 DEFAULT_MAX_LEN = 50
 # ---------------------------------------------------------------------------
 
+DEFAULT_TOKENS_BROADCAST_ROWS = 1_000_000
+
 # The fourth rule's quantifier is written ``{0-4}``.  Python reads it as the
 # literal text "{0-4}" and the JVM rejects it.  Default: the intended bounded
 # repetition ``{0,4}``; strict: the literal reading (braces escaped).
@@ -118,11 +122,12 @@ def negative_tokens(
         kept = kept.unionByName(spark.createDataFrame([(t,) for t in extra], "token string"))
     result = kept.distinct()
     if default_tokens is not None:
-        d = default_tokens.select(F.col(default_tokens.columns[0]).alias("token"))
-        # EXCEPT DISTINCT as a NULL-safe anti join.  The planner broadcasts
-        # the default list when its estimated size is under the broadcast
-        # threshold (a literal or small file), else it shuffles both sides.
-        result = result.join(d.distinct(), result["token"].eqNullSafe(d["token"]), "left_anti")
+        d = default_tokens.select(F.col(default_tokens.columns[0]).alias("token")).distinct()
+        # EXCEPT DISTINCT as a NULL-safe anti join.  The default list is
+        # broadcast behind a measured row bound (a list built on the driver
+        # carries no size statistics); beyond it both sides are shuffled.
+        d = broadcast_if_small(d, DEFAULT_TOKENS_BROADCAST_ROWS)
+        result = result.join(d, result["token"].eqNullSafe(d["token"]), "left_anti")
     return result
 
 
