@@ -437,8 +437,9 @@ def line_boxes(spark, sf_dir):
     )
 
 
-def table_cell_boxes(spark, sf_dir):
-    pages = layout_lines(spark, sf_dir).select("filename", "page_no").filter(F.col("page_no") % 3 == 0).distinct()
+def table_cell_boxes(spark, sf_dir, lines=None):
+    lines = lines if lines is not None else layout_lines(spark, sf_dir)
+    pages = lines.select("filename", "page_no").filter(F.col("page_no") % 3 == 0).distinct()
     cells = F.array(
         F.struct(F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit(100).alias("x"), F.lit(300).alias("y"),
                  F.lit(600).alias("w"), F.lit(200).alias("h")),
@@ -575,11 +576,8 @@ def q_window_neighbors(spark, sf_dir):
 
 
 def _paragraphs(spark, sf_dir, strict=False):
-    lines = layout_lines(spark, sf_dir)
-    feats = lay.line_features(
-        lines, lay.dominant_style(lines), lay.footer_lines(line_boxes(spark, sf_dir)), table_cell_boxes(spark, sf_dir)
-    )
-    return lay.paragraph_assemble(feats, strict=strict)
+    lines = layout_lines(spark, sf_dir).persist()
+    return lay.paragraphs(lines, line_boxes(spark, sf_dir), table_cell_boxes(spark, sf_dir, lines), strict=strict)
 
 
 @register("paragraph_assemble")
