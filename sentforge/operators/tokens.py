@@ -126,7 +126,7 @@ def negative_tokens(
         # EXCEPT DISTINCT as a NULL-safe anti join.  The default list is
         # broadcast behind a measured row bound (a list built on the driver
         # carries no size statistics); beyond it both sides are shuffled.
-        d = broadcast_if_small(d, DEFAULT_TOKENS_BROADCAST_ROWS)
+        d = broadcast_if_small(d, DEFAULT_TOKENS_BROADCAST_ROWS, materialize=False)
         result = result.join(d, result["token"].eqNullSafe(d["token"]), "left_anti")
     return result
 
