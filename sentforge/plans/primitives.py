@@ -351,6 +351,22 @@ def q_fn_basename(spark, sf_dir):
     return p.select("page_id", T.file_name(path).alias("file_name"), T.html_page_basename(path).alias("html_base"))
 
 
+@register(
+    "fn_image_name_parts",
+    """WITH p AS (SELECT page_id, '/img/page' || page_id::VARCHAR || '-' || lpad(((page_id % 40) + 1)::VARCHAR, 3, '0')
+                        || '.png' AS path FROM pages)
+SELECT page_id, path, regexp_extract(path, '(.*)(-)(0*)(.*)(\\.png)', 1) AS file_id,
+       regexp_extract(path, '(.*)(-)(0*)(.*)(\\.png)', 4) AS page_num FROM p""",
+)
+def q_fn_image_name_parts(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    page = F.lpad(((F.col("page_id") % 40) + 1).cast("string"), 3, "0")
+    path = F.concat(F.lit("/img/page"), F.col("page_id").cast("string"), F.lit("-"), page, F.lit(".png"))
+    x = p.select("page_id", path.alias("path"))
+    return x.select("page_id", "path", T.image_name_part("path", 1).alias("file_id"),
+                    T.image_name_part("path", 4).alias("page_num"))
+
+
 @register(
     "fn_arrays_zip",
     _lines_sql() + "SELECT doc_id, line AS l, length(line) AS n FROM doc_lines",
@@ -471,6 +487,25 @@ ALIASES = {
     "fn_regexp_extract_all": "negative_tokens",
     "external_kv_table": "memory_lookup",
     "partition_by_source": "file_line_counts",
+    # scalar functions checked together, one column each, in fn_text_scalars
+    **{f: "fn_text_scalars" for f in (
+        "fn_lower", "fn_regexp_replace", "fn_regexp_extract", "fn_split_index", "fn_word_count", "fn_substring",
+        "fn_length", "fn_case_when", "fn_concat", "fn_cast_int", "fn_expr", "fn_sha256", "fn_strip_chars",
+        "fn_squeeze_spaces")},
+    "fn_page_number_text": "fn_sentence_end",
+    "fn_strip_inline_tags": "html_lines",
+    "agg_string_concat": "sentence_extract",
+    "agg_collect_set": "sentence_extract",
+    "window_running_group": "sentence_extract",
+    # reference UDFs / RDD maps -> the native operators that replace them
+    "udf_extract_tokens": "negative_tokens",
+    "udf_sentence_tokenize": "sentence_extract",
+    "udf_parse_html": "html_lines",
+    "udf_parse_array": "fn_parse_array_string",
+    "udf_filename": "fn_basename",
+    "udf_image_name": "fn_image_name_parts",
+    "udf_parse_para": "paragraph_assemble",
+    "map_parse_line": "memory_lookup",
 }
 for _alias, _target in ALIASES.items():
     QUERIES[_alias] = QUERIES[_target]
