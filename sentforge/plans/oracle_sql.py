@@ -32,13 +32,13 @@ def normal_form(x: str) -> str:
 DOC_LINES = """doc_lines AS (
   SELECT doc_id, lang, source,
          unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no
+         (generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1)::INTEGER AS line_no
   FROM documents)"""
 
 BENCH_LINES = """bench_lines AS (
   SELECT item_id,
          unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no
+         (generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1)::INTEGER AS line_no
   FROM benchmark)"""
 
 

@@ -480,7 +480,7 @@ rules AS (
   WHERE regexp_matches(e, {o.q('(?i)' + STYLE_RULE_ESCAPED)})),
 ps AS (
   SELECT page_id, page_no, unnest(regexp_extract_all(body, '(?s)<p\\b[^>]*>.*?</p>', 0)) AS p0,
-         generate_subscripts(regexp_extract_all(body, '(?s)<p\\b[^>]*>.*?</p>', 0), 1) - 1 AS idx
+         (generate_subscripts(regexp_extract_all(body, '(?s)<p\\b[^>]*>.*?</p>', 0), 1) - 1)::INTEGER AS idx
   FROM pg),
 pc AS (
   SELECT page_id, page_no, idx,
