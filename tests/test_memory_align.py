@@ -71,3 +71,34 @@ def test_line_align_and_overlap(spark):
     clean = spark.createDataFrame([("a",), ("z",)], "sentence string")
     left = sorted((r.pdf_sentence, r.tgt_sentence) for r in al.overlap(clean, pairs).collect())
     assert left == [("a", "x"), ("z", None)]
+
+
+def test_pair_load_malformed_metadata_and_query(spark):
+    rows = [
+        ("1", "B. B.", "x", "en", "hi", '{"src_filename":"a","tgt_filename":"b","label":"M"}'),
+        ("2", "A much longer source sentence here.", "y", "en", "hi", '{"src_filename":"a","label":"M"}'),
+        ("3", "Short one.", "z", "en", "hi", "{not json"),
+    ]
+    pairs = spark.createDataFrame(rows, "sno string, src string, tgt string, src_lang string, tgt_lang string, "
+                                        "metadata_json string")
+    out = al.pair_load(pairs, "src_filename string, tgt_filename string, label string")
+    got = {r.src: (r.src_filename, r.tgt_filename, r.label, r.src_hash[:8]) for r in out.collect()}
+    assert got["B. B."][:3] == ("a", "b", "M")
+    assert got["A much longer source sentence here."][:3] == ("a", None, "M")   # missing field
+    assert got["Short one."][:3] == (None, None, None)                          # malformed JSON
+    import hashlib
+
+    assert got["B. B."][3] == hashlib.sha256(b"B. B.").hexdigest()[:8]
+    q = [tuple(r) for r in al.pair_query(out, 20, "label", "M", 10).collect()]
+    assert q == [("B. B.", "x")]
+
+
+def test_token_order(spark):
+    from sentforge.operators.tokens import token_order
+
+    t = spark.createDataFrame([("u.s.a",), ("mr",), ("c.r.p.c",), ("dr",)], "token string")
+    assert [r.token for r in token_order(t, True).collect()] == ["dr", "mr", "u.s.a", "c.r.p.c"]
+    assert [r.token for r in token_order(t, False).collect()] == ["c.r.p.c", "u.s.a", "dr", "mr"]
+    rnd = [r.token for r in token_order(t, None, seed=5).collect()]
+    assert sorted(rnd) == sorted(["u.s.a", "mr", "c.r.p.c", "dr"])
+    assert rnd == [r.token for r in token_order(t, None, seed=5).collect()]  # seeded: repeatable
