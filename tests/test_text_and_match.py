@@ -118,3 +118,12 @@ def T_nf(s):
     import re
 
     return re.sub("[^a-zA-Z0-9 ]+", "", s.lower())
+
+
+def test_exact_match_strict_letter_class(spark):
+    l = spark.createDataFrame([("f", ",, ,, ,, ,, ,,"), ("f", "a b c d e")], "filename string, sentence string")
+    r = spark.createDataFrame([(",,",), ("A B C D E",)], "sentence string")
+    # default: ',,' rows have no letter and are dropped; strict: they pass the
+    # filter but an empty normal form still never matches
+    assert [x.ik_sentence for x in exact_match(l, r).collect()] == ["A B C D E"]
+    assert [x.ik_sentence for x in exact_match(l, r, strict=True).collect()] == ["A B C D E"]
