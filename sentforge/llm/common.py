@@ -48,8 +48,7 @@ def lower_ascii(text: Column) -> Column:
 
 def white_words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` as an array (none for null text)."""
-    parts = F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+")
-    return F.filter(parts, lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
 def chain_hash(hashes: Column, n: int) -> Column:
