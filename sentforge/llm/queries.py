@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentforge.llm import decontaminate, packing, quality, simhash
+from sentforge.llm import decontaminate, langid, packing, quality, simhash, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +45,17 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.remainder("doc_id", 5) == 0)
+    model = toxicity.train(docs.filter("not held_out"), table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, keep=["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.remainder("doc_id", 4) == 2)
+    return langid.identify(docs, langid.train(docs.filter("not held_out")), keep=["doc_id", "held_out"])
