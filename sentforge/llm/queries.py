@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentforge.llm import decontaminate, langid, packing, quality, simhash, toxicity
+from sentforge.llm import decontaminate, langid, packing, quality, resampling, simhash, toxicity, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -59,3 +59,31 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.remainder("doc_id", 4) == 2)
     return langid.identify(docs, langid.train(docs.filter("not held_out")), keep=["doc_id", "held_out"])
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = resampling.target_sample(table(spark, sf_dir, "labels"))
+    return resampling.resample(table(spark, sf_dir, "documents"), target, keep=["doc_id"])
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    r = warc.read(warc.archive(spark, pages), with_payload=False)
+    kind = pages.schema["page_id"].dataType
+    return r.select(F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
+                    F.col("type").alias("record_type"), F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+ORACLE["op3_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, html, strlen(html) AS n, sha1(html) || '0' AS x FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), i ->
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + ((('0x' || substr(x, (1 + (5 * i) // 4)::INT, 3))::INT >> (7 - (5 * i) % 4)::INT) & 31)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = max(page_id) OVER (PARTITION BY html) THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> max(page_id) OVER (PARTITION BY html) THEN max(page_id) OVER (PARTITION BY html) END AS refers_to
+FROM h
+"""
