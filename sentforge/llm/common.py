@@ -79,6 +79,28 @@ def _join_runs(left: Column, right: Column, shift: int) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))))
 
 
+class Bitmap:
+    """A set of 64-bit hashes with false positives only, as a literal of bounded size.
+
+    ``2**low`` to ``2**high`` bits; beyond that more and more values pass, so it
+    may only drop rows before an exact join."""
+
+    def __init__(self, hashes: DataFrame, low: int = 14, high: int = 22):
+        h = hashes.columns[0]
+        n = hashes.count()
+        self.longs = 1 << (min(max((16 * n).bit_length(), low), high) - 6)
+        slot = F.col(h).bitwiseAND(F.lit(self.longs - 1)).cast("int")
+        bit = F.bit_or(F.expr(f"shiftleft(1L, cast(shiftright(`{h}`, 58) & 63 as int))"))
+        words = ["0"] * self.longs
+        for r in hashes.groupBy(slot.alias("at")).agg(bit.alias("b")).collect():  # at most 2**(high - 6) rows
+            words[r["at"]] = str(r["b"])
+        self.literal = F.split(F.lit(",".join(words)), ",").cast("array<bigint>")
+
+    def holds(self, h: Column) -> Column:
+        word = F.get(self.literal, h.bitwiseAND(F.lit(self.longs - 1)).cast("int"))
+        return F.getbit(word, F.shiftright(h, 58).bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, root)`` for every node of ``links`` (columns ``a``, ``b``; any order).
 

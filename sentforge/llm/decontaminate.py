@@ -21,11 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentforge.llm.common import chain_hash, lower_ascii, stage
+from sentforge.llm.common import Bitmap, chain_hash, lower_ascii, stage
 
 WINDOW = 10
 SHINGLE = 5
-FILTER_BITS = (14, 22)  # the bitmap has 2**14 to 2**22 bits
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -44,28 +43,6 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     return each.select("item", F.concat_ws(" ", "w").alias("window"), F.size("w").alias("len")).distinct()
 
 
-def _bitmap(shingles: DataFrame) -> tuple[Column, int]:
-    """A literal array of longs with a bit for each shingle hash, and its length.
-
-    Its size is bounded by ``FILTER_BITS``, whatever the number of shingles."""
-    n = shingles.count()
-    bits = min(max((16 * n).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
-    longs = 1 << (bits - 6)
-    found = shingles.groupBy(_slot(F.col("h"), longs).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("b")).collect()
-    values = ["0"] * longs
-    for r in found:
-        values[r["at"]] = str(r["b"])
-    return F.split(F.lit(",".join(values)), ",").cast("array<bigint>"), longs
-
-
-def _slot(h: Column, longs: int) -> Column:
-    return F.shiftright(h, 6).bitwiseAND(F.lit(longs - 1)).cast("int")
-
-
-def _bit(h: Column) -> Column:
-    return h.bitwiseAND(F.lit(63)).cast("int")
-
-
 def _place(k: int, window: int):
     """A marked shingle with the words around it that any of its windows may take."""
     def place(x: Column) -> Column:
@@ -95,12 +72,11 @@ def contamination(
     d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), words(F.col(text_col)).alias("w"))
     found = F.array().cast("array<struct<k:int,i:int,h:bigint,lo:int,around:array<string>>>")
     if sizes:
-        bits, longs = _bitmap(shingles.select("h").distinct())
+        known = Bitmap(shingles.select("h").distinct())
         d = d.withColumn("hashes", F.transform("w", lambda w: F.xxhash64(w)))
-        marked = lambda h: F.getbit(F.get(bits, _slot(h, longs)), _bit(h)) == 1
         parts = []
         for k in sizes:
-            at = F.transform(chain_hash(F.col("hashes"), k), lambda h, i: F.when(marked(h), F.struct(i.alias("i"), h.alias("h"))))
+            at = F.transform(chain_hash(F.col("hashes"), k), lambda h, i: F.when(known.holds(h), F.struct(i.alias("i"), h.alias("h"))))
             parts.append(F.transform(F.array_compact(at), _place(k, window)))
         found = F.concat(*parts)
     base = stage(d.select("id", "th", F.size("w").cast("bigint").alias("n_words"), found.alias("found")), "found")

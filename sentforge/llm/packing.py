@@ -18,8 +18,10 @@ rows and ids are packed as often as they occur, null ids too.
 from __future__ import annotations
 
 import bisect
+import json
 import re
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -32,13 +34,65 @@ from sentforge.llm.common import stage
 
 CAPACITY = 2048
 SEPARATOR = 0
-WORD_CACHE = 400_000  # words kept per Python worker
+WORD_CACHE = 300_000  # words in a generation of a Python worker's cache
 LONG_WORD = 64  # longer ones are not kept
 SLICE_ROWS = 50_000  # rows of one length ranked by one task, on average
 
 _encoders: dict[str, WordEncoder] = {}
 
 
+def _quick(tokenizer):
+    """The same vocabulary as a ``tiktoken`` encoding, or None where that could differ.
+
+    Byte-level BPE with one token per merge, numbered in the order of the merges,
+    gives equal ids in both libraries; ``tiktoken`` takes a fifth of the time for a word."""
+    import tiktoken
+
+    d = json.loads(tokenizer.to_str())
+    pre, model = d["pre_tokenizer"] or {}, d["model"]
+    plain = not any((d["normalizer"], model.get("dropout"), model.get("ignore_merges"), model.get("continuing_subword_prefix"),
+                     model.get("end_of_word_suffix")))
+    if not plain or pre.get("type") != "ByteLevel" or not pre.get("use_regex") or pre.get("add_prefix_space") or model["type"] != "BPE":
+        return None
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    special = {t["content"] for t in d["added_tokens"]}
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    order = [model["vocab"].get(m, -1) for m in merged]
+    if order != sorted(set(order)) or -1 in order:
+        return None
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+    pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed: the byte-level pre-tokenizer's
+    return tiktoken.Encoding("quick", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, sorted(special)
+
+
+class _Words(dict):
+    """Ids of blank-led words as bytes, in two generations so that common words stay."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.old = tokenizer, {}
+        self.quick, special = _quick(tokenizer) or (None, [])
+        # what the quick form leaves alone: special tokens, and characters on whose class Unicode versions differ
+        self.rare = re.compile("|".join(["[\u0250-\U0010ffff]", *map(re.escape, special)]))
+
+    def ids(self, word: str) -> list[int]:
+        if self.quick and not self.rare.search(word):
+            return self.quick(word)
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = array("I", self.ids(" " + word)).tobytes()
+        if len(word) <= LONG_WORD:
+            if len(self) >= WORD_CACHE:
+                self.old = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids of whole texts by a ``tokenizers`` file, with a cache of words.
 
@@ -48,28 +102,19 @@ class WordEncoder:
     """
 
     cut = re.compile(r"(?<=\S) ")
+    odd = re.compile(r"\s ")  # a blank after white space: not every blank is a place to cut
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self.tokenizer)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        first, *rest = self.cut.split(text)
-        words = [first, *[" " + w for w in rest]]
-        known = self.words
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            ids = (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(new, add_special_tokens=False))
-            found = dict(zip(new, ids, strict=True))
-            out = b"".join([found.get(w) or known[w] for w in words])
-            if len(known) > WORD_CACHE:
-                known.clear()
-            known.update((w, i) for w, i in found.items() if len(w) <= LONG_WORD)
-            return out
-        return b"".join([known[w] for w in words])
+        first, *rest = self.cut.split(text) if self.odd.search(text) else text.split(" ")
+        start = array("I", self.tokenizer.encode(first, add_special_tokens=False).ids).tobytes()
+        return start + b"".join(map(self.words.__getitem__, rest))
 
 
 def _encoder(path: str) -> WordEncoder:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentforge.llm import decontaminate, langid, packing, quality, resampling, simhash, toxicity, warc
+from sentforge.llm import decontaminate, langid, linededup, packing, quality, resampling, simhash, toxicity, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -80,10 +80,33 @@ ORACLE["op3_warc"] = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 h AS (SELECT page_id, html, strlen(html) AS n, sha1(html) || '0' AS x FROM p)
 SELECT page_id, n::BIGINT AS payload_bytes,
-  array_to_string(list_transform(range(32), i ->
+  array_to_string(list_transform(range(32), lambda i:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
       1 + ((('0x' || substr(x, (1 + (5 * i) // 4)::INT, 3))::INT >> (7 - (5 * i) % 4)::INT) & 31)::INT, 1)), '') AS payload_digest,
   CASE WHEN page_id = max(page_id) OVER (PARTITION BY html) THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> max(page_id) OVER (PARTITION BY html) THEN max(page_id) OVER (PARTITION BY html) END AS refers_to
 FROM h
 """
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    return d.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+                    F.col("_n_near").alias("n_near"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op1_line_dedup"] = r"""
+WITH parts AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents),
+occ AS (SELECT doc_id, pos, raw, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line FROM parts),
+first AS (SELECT line, min((doc_id, pos)) AS f FROM occ WHERE line <> '' GROUP BY line),
+late AS (SELECT DISTINCT CASE WHEN a.f < b.f THEN b.line ELSE a.line END AS line
+  FROM first a JOIN first b ON a.line < b.line AND abs(strlen(a.line) - strlen(b.line)) <= 2
+   AND strlen(a.line) >= 24 AND strlen(b.line) >= 24 AND levenshtein(a.line, b.line) <= 2),
+judged AS (SELECT o.doc_id, o.pos, o.raw, o.line <> '' AS word, o.line <> '' AND (o.doc_id, o.pos) <> f.f AS again,
+  o.line <> '' AND (o.doc_id, o.pos) = f.f AND l.line IS NOT NULL AS near
+  FROM occ o LEFT JOIN first f ON o.line = f.line LEFT JOIN late l ON o.line = l.line)
+SELECT doc_id, count(*) FILTER (word) AS n_lines, count(*) FILTER (again OR near) AS n_removed, count(*) FILTER (near) AS n_near,
+  sha256(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT coalesce(again OR near, false)), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""

@@ -73,7 +73,7 @@ class BundleWriter:
 
     def __init__(self, path: str, level: int = 3):
         where, name = fs.FileSystem.from_uri(path)
-        self.out = where.open_output_stream(name)
+        self.out = where.open_output_stream(name, compression=None)
         self.pack = zstandard.ZstdCompressor(level=level, write_content_size=True)
         self.sizes: list[tuple[int, int]] = []
         self.written = 0
