@@ -116,22 +116,3 @@ FROM judged GROUP BY doc_id
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = substrings.cut_spans(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return d.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-
-
-ORACLE["op8_substring_dedup"] = """
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
-w AS (SELECT doc_id, i, doc_id * 1000000000 + i AS k, substr(x, 2 * i + 1, 200) AS s
-  FROM d, LATERAL (SELECT unnest(range(greatest(strlen(x) // 2 - 99, 0))) AS i)),
-m AS (SELECT s, min(k) AS k FROM w GROUP BY s),
-f AS (SELECT w.doc_id, w.i, w.k > m.k AS again FROM w JOIN m ON w.s = m.s),
-g AS (SELECT doc_id, i AS a, i + 100 AS b, max(i + 100) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM f WHERE again),
-h AS (SELECT doc_id, a, b, sum(CASE WHEN reach IS NULL OR a > reach THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY a) AS k FROM g),
-r AS (SELECT doc_id, k, min(a) AS a, max(b) AS b FROM h GROUP BY doc_id, k),
-e AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS from_b, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS nxt FROM r),
-t AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail,
-  list((from_b, a) ORDER BY a) AS keeps FROM e GROUP BY doc_id)
-SELECT d.doc_id, (strlen(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
-  sha256(unhex(CASE WHEN keeps IS NULL THEN x ELSE
-    array_to_string(list_transform(keeps, lambda q: substr(x, 2 * q[1] + 1, 2 * (q[2] - q[1]))), '') || substr(x, 2 * tail + 1) END)) AS kept_sha256
-FROM d LEFT JOIN t ON d.doc_id = t.doc_id
-"""
