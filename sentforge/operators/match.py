@@ -8,17 +8,14 @@ planner from its size estimate.
 ``near_match``: exact set-similarity join (prefix filtering, AllPairs):
 1. distinct texts per side -> set of character bigrams;
 2. global bigram order = (document frequency, bigram), computed with one
-   partial aggregation; when the vocabulary is under a checked bound (1M) it is
-   broadcast and each set becomes a sorted int array of ranks in-row
-   (Arrow-batched pandas UDF, a dictionary lookup per bigram); beyond the bound
-   a static 64-bit hash order is used natively (still exact, less pruning);
+   partial aggregation and joined back on the bigram (JVM only, any vocabulary);
 3. prefix of length ``n - ceil(s*n) + 1`` (s = 1 - threshold), exploded;
    equi join on the prefix token with the length filter
    ``s*|a| <= |b| <= |a|/s`` in the join condition, on narrow integer rows
-   (set id, size, position, token); one partial aggregation per candidate
+   (set id, size, position, bigram); one partial aggregation per candidate
    pair counts shared prefix tokens, and a positional upper bound on the
    overlap drops hopeless pairs;
-4. the rank arrays are joined back for the surviving pairs only, the exact
+4. the ordered arrays are joined back for the surviving pairs only, the exact
    Jaccard distance is verified and ``distance < threshold`` kept.
 
 ``near_match_lsh``: the MLlib MinHash LSH pipeline (approximate, hashed
@@ -27,21 +24,14 @@ bigrams, fixed seed).
 
 from __future__ import annotations
 
-import sys
-
 import math
 
-import pandas as pd
-from pyspark import StorageLevel
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentforge.functions.text import char_bigrams, has_letter, normal_form, word_count
 from sentforge.session import cut_lineage
 
-VOCAB_BROADCAST_ROWS = 1_000_000  # ~100 MB of dictionary on the driver at most
-
 
 def exact_match(
     left: DataFrame,
@@ -85,36 +75,19 @@ def _sets(df: DataFrame, col: str, strict: bool) -> DataFrame:
     )
 
 
-def _ranked(sets: DataFrame, ranks) -> DataFrame:
-    """Replace each bigram set with a sorted array of global ranks."""
-    if ranks is not None:
+def _ordered(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their bigrams in the global (document frequency, bigram)
+    order.  The frequencies are one partial aggregation; they reach the sets by
+    a join on the bigram, so the vocabulary may have any size."""
+    grams = [s.select("id", F.explode("grams").alias("gram")) for s in (a, b)]
+    vocab = grams[0].unionAll(grams[1]).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
 
-        @F.pandas_udf("array<bigint>")
-        def to_ranks(grams: pd.Series) -> pd.Series:
-            m = ranks.value
-            return grams.map(lambda gs: sorted(m[g] for g in gs))
+    def order(sets: DataFrame, side: DataFrame) -> DataFrame:
+        ranked = side.join(vocab, "gram").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("_o"))
+        return cut_lineage(sets.select("id", "text").join(ranked, "id").select(
+            "id", "text", F.transform("_o", lambda x: x["gram"]).alias("ranks")))
 
-        return sets.withColumn("ranks", to_ranks("grams"))
-    # Unbounded vocabulary: a static hash order needs no lookup (exact, but
-    # prunes less than the frequency order).
-    return sets.withColumn("ranks", F.array_sort(F.transform("grams", lambda g: F.xxhash64(g))))
-
-
-def bigram_ranks(a: DataFrame, b: DataFrame, broadcast_rows: int = VOCAB_BROADCAST_ROWS):
-    """Broadcast {bigram: rank} in (document frequency, bigram) order, or None
-    when the vocabulary has more than ``broadcast_rows`` entries.  One job;
-    at most ``broadcast_rows + 1`` rows reach the driver."""
-    vocab = (
-        a.select(F.explode("grams").alias("gram"))
-        .unionAll(b.select(F.explode("grams").alias("gram")))
-        .groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
-    rows = vocab.limit(broadcast_rows + 1).collect()
-    if len(rows) > broadcast_rows:
-        return None
-    rows.sort(key=lambda r: (r["df"], r["gram"]))
-    return a.sparkSession.sparkContext.broadcast({r["gram"]: i for i, r in enumerate(rows)})
+    return order(a, grams[0]), order(b, grams[1])
 
 
 def near_match(
@@ -124,21 +97,16 @@ def near_match(
     stored_col: str = "sentence",
     landed_col: str = "sentence",
     strict: bool = False,
-    broadcast_rows: int = VOCAB_BROADCAST_ROWS,
 ) -> DataFrame:
     """All (stored, landed) distinct-text pairs with bigram Jaccard distance
     ``< threshold``.  Output: ``ik_sentence``, ``pdf_sentence``,
     ``confidence`` (the distance; 0 = same bigram set)."""
     s = 1.0 - threshold
-    # The sets feed the vocabulary job and the join: persist them once
-    # (memory + disk; lost blocks are recomputed from lineage).
-    a = _sets(stored, stored_col, strict).persist(StorageLevel.MEMORY_AND_DISK)
-    b = _sets(landed, landed_col, strict).persist(StorageLevel.MEMORY_AND_DISK)
-    ranks = bigram_ranks(a, b, broadcast_rows)
     # Integer ids keep the candidate rows narrow; the sets are checkpointed
     # (reliable storage) so the ids cannot change if a task is recomputed.
-    a = cut_lineage(_ranked(a, ranks).withColumn("id", F.monotonically_increasing_id()).drop("grams"))
-    b = cut_lineage(_ranked(b, ranks).withColumn("id", F.monotonically_increasing_id()).drop("grams"))
+    a, b = (cut_lineage(_sets(df, col, strict).withColumn("id", F.monotonically_increasing_id()))
+            for df, col in ((stored, stored_col), (landed, landed_col)))
+    a, b = _ordered(a, b)
 
     def postings(df: DataFrame, tag: str) -> DataFrame:
         n = F.size("ranks")
@@ -222,8 +190,3 @@ def prefix_length(n: int, threshold: float) -> int:
     """Python mirror of the prefix length (used by tests)."""
     s = 1.0 - threshold
     return n - math.ceil(s * n - 1e-9) + 1
-
-
-# Functions of this module run inside Python workers; ship them by value so
-# executors do not need this package installed (no --py-files required).
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

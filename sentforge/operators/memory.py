@@ -34,11 +34,13 @@ def memory_rows(
     return dedupe_by_key(rows)
 
 
-def dedupe_by_key(rows: DataFrame) -> DataFrame:
-    """One row per key: the largest (target, source, languages) struct wins,
-    deterministically; ``max`` is one partial aggregation (no per-key list)."""
+def dedupe_by_key(rows: DataFrame, order_col: str | None = None) -> DataFrame:
+    """One row per key: the last in ``order_col`` wins (NULL order comes first);
+    without it, or on equal order, the largest (target, source, languages)
+    struct.  ``max`` is one partial aggregation (no per-key list)."""
     payload = F.struct("target_sentence", "source_sentence", "source_language", "target_language")
-    return rows.groupBy("key").agg(F.max(payload).alias("_p")).select("key", "_p.*").select(*MEMORY_COLUMNS)
+    order = [F.col(order_col).alias("_o")] if order_col else []
+    return rows.groupBy("key").agg(F.max(F.struct(*order, payload.alias("_p"))).alias("_m")).select("key", "_m._p.*").select(*MEMORY_COLUMNS)
 
 
 def _keyed_requests(requests: DataFrame, target_language: str, text_col: str) -> DataFrame:
@@ -69,25 +71,30 @@ def memory_misses(
     return r.join(m, "key", "left_anti").select("source_sentence")
 
 
-def memory_upsert(memory: DataFrame, new_rows: DataFrame) -> DataFrame:
-    """New memory version: rows of ``new_rows`` replace rows with the same key
-    (last write wins), other rows are kept.  Idempotent."""
-    new = dedupe_by_key(new_rows.select(*MEMORY_COLUMNS))
+def memory_upsert(memory: DataFrame, new_rows: DataFrame, order_col: str | None = None) -> DataFrame:
+    """New memory version: rows of ``new_rows`` replace rows with the same key,
+    other rows are kept; of several new rows the last in ``order_col`` is
+    written (see ``dedupe_by_key``).  Idempotent."""
+    new = dedupe_by_key(new_rows, order_col)
     kept = memory.select(*MEMORY_COLUMNS).join(new.select("key"), "key", "left_anti")
     return kept.unionByName(new)
 
 
-def keyed_merge(base: DataFrame, updates: DataFrame, key: str, fields: Sequence[str] | None = None) -> DataFrame:
+def keyed_merge(base: DataFrame, updates: DataFrame, key: str, fields: Sequence[str] | None = None,
+                order_col: str | None = None) -> DataFrame:
     """Append-with-update: keys present in both take each given (non-NULL)
     update field over the stored one (``replaceDocument=false``); other keys
-    from either side pass through.  One full outer join on the key.
+    from either side pass through.  Several updates of a key are applied field by
+    field: the last non-NULL value in ``order_col`` wins (without it the largest).
+    One full outer join on the key.
     ``key`` may be a nested field such as ``_id.oid``; it is returned as a
     top-level column named after its last part."""
     name = key.split(".")[-1]
     fields = list(fields) if fields is not None else [c for c in base.columns if c != key.split(".")[0]]
     b = base.select(F.col(key).alias(name), *[F.col(f).alias("b_" + f) for f in fields])
     u_fields = [f for f in fields if f in updates.columns]
-    u = updates.select(F.col(key).alias(name), *[F.col(f).alias("u_" + f) for f in u_fields])
+    last = (lambda f: F.max_by(F.col(f), F.when(F.col(f).isNotNull(), F.col(order_col)))) if order_col else F.max
+    u = updates.groupBy(F.col(key).alias(name)).agg(F.count(F.lit(1)).alias("_n"), *[last(f).alias("u_" + f) for f in u_fields]).drop("_n")
     j = b.join(u, name, "full_outer")
     out = [F.col(name)]
     for f in fields:
@@ -97,6 +104,7 @@ def keyed_merge(base: DataFrame, updates: DataFrame, key: str, fields: Sequence[
 
 def _first_match_hit(df: DataFrame, predicate: Column, order_key: str) -> Column:
     """True on the first row matching ``predicate`` in ``order_key`` order.
+    ``order_key`` must be unique: all rows tied on the first key are touched.
     The first key is a scalar subquery over one tiny global aggregate
     (partial per partition) - never a global window or a cross join."""
     first = df.filter(predicate).agg(F.min(order_key).alias("_first")).scalar()

@@ -7,21 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentforge.session import cut_lineage
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int, materialize: bool = True) -> DataFrame:
-    """Broadcast hint only behind a measured bound.
-
-    The table is checkpointed first (reliable storage, lineage cut) so the
-    count and the later join read the same materialised rows instead of
-    recomputing the upstream plan.  Above ``max_rows`` no hint is given and the
-    planner shuffles (AQE may still broadcast at runtime if it turns small).
-    """
-    small = cut_lineage(df) if materialize else df
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
 
 def first_by_order(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Column]) -> DataFrame:
     """First row per group under a total order (``row_number() = 1``)."""

@@ -9,8 +9,7 @@ Sentences are the words joined by one blank.
 Plan (nothing per word is shuffled): each line is split on the JVM into
 candidate pieces at every *possible* boundary (look-behind regex), so pieces
 are already sentences except where an abbreviation glues two of them.  Only
-the last word of each piece is looked up in the abbreviation table (broadcast
-when its row count is under a checked bound, shuffle join otherwise).  Pieces
+the last word of each piece is looked up in the abbreviation table.  Pieces
 are re-glued with a running sum over (line, piece order) - the only shuffle is
 of pieces, i.e. sentence-sized rows, keyed by line.
 """
@@ -22,8 +21,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentforge.operators.relational import broadcast_if_small
-
 # Fixed values of the rule (our own, documented in README).
 TERMINALS = ".?!"
 CLOSERS = "\"'”’)]"
@@ -34,8 +31,6 @@ BOUNDARY_WORD = "[.?!]" + _CLOSER_CLASS + "{0," + str(MAX_CLOSERS) + "}$"
 _SPLIT_AFTER_BOUNDARY = "(?<=[.?!]" + _CLOSER_CLASS + "{0," + str(MAX_CLOSERS) + "}) "
 STEM = r"([a-z0-9.]*)\.$"
 
-ABBREVIATION_BROADCAST_ROWS = 2_000_000
-
 
 def numbered_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, line_no from 0, line) - ``posexplode`` per row, no shuffle."""
@@ -50,7 +45,6 @@ def sentence_split(
     abbreviations: DataFrame | None,
     key_cols: Sequence[str] = ("doc_id", "line_no"),
     text_col: str = "line",
-    broadcast_rows: int = ABBREVIATION_BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per sentence occurrence: key columns, ``sentence_no``, ``sentence``.
 
@@ -70,11 +64,10 @@ def sentence_split(
     )
     if abbreviations is not None:
         abbr = abbreviations.select(F.col(abbreviations.columns[0]).alias("_abbr")).distinct()
-        abbr = broadcast_if_small(abbr, broadcast_rows)
         # Only pieces ending in a period can glue.  The others get a unique
         # join key that no abbreviation can equal (it starts with \x01), so
-        # when the table is too large to broadcast they spread evenly instead
-        # of piling up on the partition of the NULL key.
+        # in a shuffle join they spread evenly instead of piling up on the
+        # partition of the NULL key; a very common stem is split by AQE.
         has_stem = F.col("_stem").isNotNull() & (F.col("_stem") != "")
         unique = F.concat_ws("\x01", F.lit(""), *[k.cast("string") for k in keys], F.col("piece_no").cast("string"))
         pieces = pieces.withColumn("_jk", F.when(has_stem, F.col("_stem")).otherwise(unique))
@@ -97,10 +90,9 @@ def sentence_extract(
     abbreviations: DataFrame | None,
     key_cols: Sequence[str] = ("doc_id", "line_no"),
     text_col: str = "line",
-    broadcast_rows: int = ABBREVIATION_BROADCAST_ROWS,
 ) -> DataFrame:
     """Distinct sentences -> one column ``sentence``."""
-    return sentence_split(lines, abbreviations, key_cols, text_col, broadcast_rows).select("sentence").distinct()
+    return sentence_split(lines, abbreviations, key_cols, text_col).select("sentence").distinct()
 
 
 def sentence_counts(

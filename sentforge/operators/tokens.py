@@ -15,7 +15,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentforge.operators.relational import broadcast_if_small
 
 # ---------------------------------------------------------------------------
 # The default token-extraction rules and extra tokens of the
@@ -33,7 +32,6 @@ DEFAULT_MIN_LEN = 3
 DEFAULT_MAX_LEN = 50
 # ---------------------------------------------------------------------------
 
-DEFAULT_TOKENS_BROADCAST_ROWS = 1_000_000
 
 # The fourth rule's quantifier is written ``{0-4}``.  Python reads it as the
 # literal text "{0-4}" and the JVM rejects it.  Default: the intended bounded
@@ -123,10 +121,8 @@ def negative_tokens(
     result = kept.distinct()
     if default_tokens is not None:
         d = default_tokens.select(F.col(default_tokens.columns[0]).alias("token")).distinct()
-        # EXCEPT DISTINCT as a NULL-safe anti join.  The default list is
-        # broadcast behind a measured row bound (a list built on the driver
-        # carries no size statistics); beyond it both sides are shuffled.
-        d = broadcast_if_small(d, DEFAULT_TOKENS_BROADCAST_ROWS, materialize=False)
+        # EXCEPT DISTINCT as a NULL-safe anti join; the planner picks the side
+        # to broadcast from its own size estimate
         result = result.join(d, result["token"].eqNullSafe(d["token"]), "left_anti")
     return result
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sentforge.operators import sentences as sent
 from sentforge.operators import tokens as tok
 from sentforge.plans import oracle_sql as o
-from sentforge.plans.tables import default_tokens, doc_lines, documents, spread, table
+from sentforge.plans.tables import default_tokens, doc_lines, documents, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -427,7 +427,7 @@ def layout_lines(spark, sf_dir):
 
 
 def line_boxes(spark, sf_dir):
-    li = spread(table(spark, sf_dir, "lineitem"))
+    li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.concat(F.lit("doc"), (F.col("l_orderkey") % 1000).cast("string")).alias("file_id"),
         F.col("l_linenumber").cast("int").alias("page_num"),
@@ -466,10 +466,9 @@ _L = _with(o.DOC_LINES, _LAYOUT_SQL)
 
 _HTML_SQL = f"""WITH pg AS (
   SELECT page_id,
-         string_split_regex(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '\\s+')[2] AS page_no,
-         array_to_string(regexp_extract_all(html, '(?s)<style[^>]*>(.*?)</style>', 1), ' ') AS style_text,
-         regexp_replace(regexp_replace(html, '(?s)<script\\b[^>]*>.*?</script>', '', 'g'),
-                        '(?s)<style\\b[^>]*>.*?</style>', '', 'g') AS body
+         string_split_regex(trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)), '\\s+')[2] AS page_no,
+         array_to_string(regexp_extract_all(html, '(?is)<style[^>]*>(.*?)</style>', 1), ' ') AS style_text,
+         regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>|<!--.*?-->', '', 'g') AS body
   FROM pages),
 rules AS (
   SELECT page_id, pos, regexp_extract(e, {o.q('(?i)' + STYLE_RULE_ESCAPED)}, 1) AS k,
@@ -478,18 +477,22 @@ rules AS (
   FROM (SELECT page_id, unnest(string_split_regex(style_text, '\\s+')) AS e,
                generate_subscripts(string_split_regex(style_text, '\\s+'), 1) AS pos FROM pg)
   WHERE regexp_matches(e, {o.q('(?i)' + STYLE_RULE_ESCAPED)})),
-ps AS (
-  SELECT page_id, page_no, unnest(regexp_extract_all(body, '(?s)<p\\b[^>]*>.*?</p>', 0)) AS p0,
-         (generate_subscripts(regexp_extract_all(body, '(?s)<p\\b[^>]*>.*?</p>', 0), 1) - 1)::INTEGER AS idx
+cut AS (
+  SELECT page_id, page_no, string_split(regexp_replace(regexp_replace(body, '(?i)</p\\s*>|</body', chr(1) || '\\0', 'g'),
+           '(?i)<p([\\s>])', chr(2) || '<p\\1', 'g'), chr(2)) AS parts
   FROM pg),
+ps AS (
+  SELECT page_id, page_no, unnest(list_transform(parts[2:], lambda x: string_split(x, chr(1))[1] || '</p>')) AS p0,
+         (generate_subscripts(parts[2:], 1) - 1)::INTEGER AS idx
+  FROM cut),
 pc AS (
   SELECT page_id, page_no, idx,
          trim(regexp_replace(regexp_replace(p0, '<br/>|<i>|<i/>|</i>|<b>|</b>|<b/>', '', 'g'), '\\s+', ' ', 'g')) AS p
   FROM ps),
 pl AS (
-  SELECT page_id, page_no, idx, regexp_extract(p, '^<p[^>]*\\bclass="([^"]*)"', 1) AS css_class,
-         regexp_extract(p, '^<p[^>]*\\bstyle="([^"]*)"', 1) AS inline_style,
-         regexp_extract(p, '(?s)^<p[^>]*>(.*)</p>$', 1) AS text
+  SELECT page_id, page_no, idx, regexp_extract(p, '(?i)^<p[^>]*\\bclass="([^"]*)"', 1) AS css_class,
+         regexp_extract(p, '(?i)^<p[^>]*\\bstyle="([^"]*)"', 1) AS inline_style,
+         regexp_extract(p, '(?is)^<p[^>]*>(.*)</p>$', 1) AS text
   FROM pc)
 SELECT pl.page_id, pl.page_no, pl.idx, pl.css_class,
        (SELECT v FROM rules r WHERE r.page_id = pl.page_id AND r.k = pl.css_class ORDER BY pos DESC LIMIT 1) AS style_key,
@@ -499,7 +502,7 @@ FROM pl"""
 
 @register("html_lines", _HTML_SQL)
 def q_html_lines(spark, sf_dir):
-    return lay.html_lines(spread(table(spark, sf_dir, "pages"), "page_id"))
+    return lay.html_lines(table(spark, sf_dir, "pages"))
 
 
 @register("agg_group_count", _L + "SELECT filename, style_key, count(*)::BIGINT AS cnt FROM layout GROUP BY ALL")

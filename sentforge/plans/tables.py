@@ -22,23 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Use every core when the scan has fewer splits than the cluster.
-
-    A file written as one Parquet row group is read by one task, so every
-    step before the first shuffle would run on one core.  Only then is the
-    input hash-partitioned by ``key`` (or round-robin); on a cluster reading
-    many files / row groups this is a no-op.  Hashing by the document key also
-    satisfies later per-document / per-line clustering, so those steps need
-    no shuffle of their own."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,13 @@
 
 Library code never creates a session; these helpers are for tests, the bench
 and the driver entry points.  ``checkpoint_dir`` honours the cluster's
-``spark.checkpoint.dir`` and only falls back to a scratch folder when the
-setting is absent (local tests).
+``spark.checkpoint.dir``; only a one-machine session may go without it.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,15 +37,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, configuring the context if needed.
 
     Order: an already-set context dir, then ``spark.checkpoint.dir`` from the
-    session conf (the shared folder a cluster names), then - only when neither
-    exists, as in unit tests - a fresh scratch folder.
+    session conf (the shared folder a cluster names).  A local-mode session
+    without either, as in unit tests, gets a fresh scratch folder; a cluster
+    session raises, because executors and driver share no local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="sentforge-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
