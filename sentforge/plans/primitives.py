@@ -6,6 +6,7 @@ oracle; ids whose natural test is a composite query are aliases of it.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sentforge.functions import text as T
@@ -40,12 +41,12 @@ def q_source_file_column(spark, sf_dir):
 
 @register(
     "scan_catalog_table",
-    "SELECT c_name, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal > 9000 AND c_mktsegment = 'BUILDING'",
+    "SELECT c_name, c_mktsegment, c_acctbal FROM customer",
 )
 def q_scan_catalog_table(spark, sf_dir):
     register_parquet_view(spark, "customer_tbl", f"{sf_dir}/customer.parquet")
     return spark.sql(
-        "SELECT c_name, c_mktsegment, c_acctbal FROM customer_tbl WHERE c_acctbal > 9000 AND c_mktsegment == 'BUILDING'"
+        "SELECT c_name, c_mktsegment, c_acctbal FROM customer_tbl"
     )
 
 
@@ -63,11 +64,11 @@ def q_sql_query(spark, sf_dir):
 
 @register(
     "temp_view",
-    _lines_sql() + "SELECT source, count(DISTINCT doc_id)::BIGINT AS n_docs FROM doc_lines WHERE line <> '' GROUP BY source",
+    _lines_sql() + "SELECT source, count(DISTINCT doc_id)::BIGINT AS n_docs FROM doc_lines GROUP BY source",
 )
 def q_temp_view(spark, sf_dir):
     doc_lines(spark, sf_dir).createOrReplaceTempView("doc_lines_view")
-    return spark.sql("SELECT source, count(DISTINCT doc_id) AS n_docs FROM doc_lines_view WHERE line <> '' GROUP BY source")
+    return spark.sql("SELECT source, count(DISTINCT doc_id) AS n_docs FROM doc_lines_view GROUP BY source")
 
 
 # --------------------------------------------------------------- sinks ----
@@ -102,9 +103,18 @@ def q_project_literal(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.lit(" ").alias("sep"), F.lit(1).alias("one"))
 
 
-@register("null_fill", "SELECT conv_id, turn, coalesce(text, '') AS text, coalesce(role, '') AS role FROM conversations")
+def _with_nulls(spark, sf_dir):
+    """Conversations whose text is NULL on every third turn."""
+    c = table(spark, sf_dir, "conversations")
+    return c.withColumn("text", F.when(F.col("turn") % 3 != 0, F.col("text")))
+
+
+@register(
+    "null_fill",
+    "SELECT conv_id, turn, CASE WHEN turn % 3 <> 0 THEN coalesce(text, '') ELSE '' END AS text, coalesce(role, '') AS role FROM conversations",
+)
 def q_null_fill(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "text", "role").na.fill("")
+    return _with_nulls(spark, sf_dir).select("conv_id", "turn", "text", "role").na.fill("")
 
 
 @register(
@@ -145,10 +155,9 @@ def q_filter_not_in(spark, sf_dir):
     return c.filter(~F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select("c_custkey", "c_mktsegment")
 
 
-@register("filter_not_null", "SELECT conv_id, turn, text FROM conversations WHERE text IS NOT NULL AND role = 'user'")
+@register("filter_not_null", "SELECT conv_id, turn, text FROM conversations WHERE text IS NOT NULL AND turn % 3 <> 0")
 def q_filter_not_null(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
-    return c.filter(F.col("text").isNotNull() & (F.col("role") == "user")).select("conv_id", "turn", "text")
+    return _with_nulls(spark, sf_dir).filter(F.col("text").isNotNull()).select("conv_id", "turn", "text")
 
 
 @register("filter_nested_field", "SELECT c_custkey::VARCHAR AS oid, c_name FROM customer WHERE c_custkey = 7")
@@ -198,11 +207,11 @@ def q_agg_count_min_max(spark, sf_dir):
 
 @register(
     "distinct_rows",
-    "SELECT DISTINCT t AS token FROM (SELECT unnest(regexp_split_to_array(lower(coalesce(text, '')), '\\s')) AS t "
-    "FROM documents) WHERE t LIKE '%.%'",
+    "SELECT DISTINCT unnest(regexp_split_to_array(lower(coalesce(text, '')), '\\s')) AS token FROM documents",
 )
 def q_distinct_rows(spark, sf_dir):
-    return tok.dotted_tokens(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), r"\s")).alias("token")).distinct()
 
 
 @register(
@@ -249,11 +258,11 @@ def q_token_order(spark, sf_dir):
 
 @register(
     "union_all",
-    "SELECT text FROM conversations WHERE role = 'user' UNION ALL SELECT text FROM conversations WHERE role = 'assistant'",
+    "SELECT text FROM conversations WHERE role = 'user' UNION ALL SELECT text FROM conversations WHERE role <> 'user'",
 )
 def q_union_all(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
-    return c.filter(F.col("role") == "user").select("text").union(c.filter(F.col("role") == "assistant").select("text"))
+    return c.filter(F.col("role") == "user").select("text").union(c.filter(F.col("role") != "user").select("text"))
 
 
 @register(
@@ -287,10 +296,10 @@ SELECT doc_id, line_no,
        trim(replace(replace(replace(line, '"', ''), '“', ''), '”', ''), '''<>() ') AS stripped,
        regexp_extract(line, '([0-9]+)', 1) AS first_number,
        try_cast(regexp_extract(line, '([0-9]+)', 1) AS INTEGER) AS first_number_int
-FROM doc_lines WHERE line <> ''""",
+FROM doc_lines""",
 )
 def q_fn_text_scalars(spark, sf_dir):
-    l = doc_lines(spark, sf_dir).filter(F.col("line") != "")
+    l = doc_lines(spark, sf_dir)
     line = F.col("line")
     return l.select(
         "doc_id", "line_no",
@@ -424,14 +433,14 @@ def q_flatten_three_level(spark, sf_dir):
 @register(
     "ml_tokenize",
     "SELECT t AS token, count(*)::BIGINT AS n FROM (SELECT unnest(regexp_split_to_array(lower(text), '\\s')) AS t "
-    "FROM benchmark WHERE text IS NOT NULL) WHERE t <> '' GROUP BY t",
+    "FROM (SELECT regexp_replace(text, '\\s+$', '') AS text FROM benchmark) WHERE text IS NOT NULL) GROUP BY t",
 )
 def q_ml_tokenize(spark, sf_dir):
     from pyspark.ml.feature import Tokenizer
 
     b = table(spark, sf_dir, "benchmark").filter(F.col("text").isNotNull())
     t = Tokenizer(inputCol="text", outputCol="tokens").transform(b)
-    return t.select(F.explode("tokens").alias("token")).filter(F.col("token") != "").groupBy("token").agg(
+    return t.select(F.explode("tokens").alias("token")).groupBy("token").agg(
         F.count(F.lit(1)).alias("n"))
 
 
@@ -450,6 +459,47 @@ def q_ml_ngram(spark, sf_dir):
     return g.select(F.explode("ngrams").alias("ngram")).groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
 
 
+# ---------------------------------------- ids with a plan of their own ----
+@register(
+    "agg_collect_set",
+    "SELECT source, array_to_string(list_sort(list(DISTINCT lang)), ',') AS langs FROM documents GROUP BY source",
+)
+def q_agg_collect_set(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.groupBy("source").agg(F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("langs"))
+
+
+@register("filter_min_width", R._L + "SELECT file_id, page_num, x, y, w FROM boxes WHERE w > 50")
+def q_filter_min_width(spark, sf_dir):
+    return R.line_boxes(spark, sf_dir).filter(F.col("w") > lay.MIN_BOX_WIDTH)
+
+
+@register(
+    "join_left_outer_chain",
+    _lines_sql() + """SELECT a.doc_id, a.line_no, a.line AS l0, b.line AS l1, c.line AS l2 FROM doc_lines a
+LEFT JOIN doc_lines b ON a.doc_id = b.doc_id AND b.line_no = a.line_no + 1
+LEFT JOIN doc_lines c ON a.doc_id = c.doc_id AND c.line_no = a.line_no + 2""",
+)
+def q_join_left_outer_chain(spark, sf_dir):
+    lines = doc_lines(spark, sf_dir)
+    out = lines.select("doc_id", "line_no", F.col("line").alias("l0"))
+    for k in (1, 2):
+        ahead = lines.select("doc_id", (F.col("line_no") - k).alias("line_no"), F.col("line").alias(f"l{k}"))
+        out = out.join(ahead, ["doc_id", "line_no"], "left")
+    return out
+
+
+@register(
+    "window_running_group",
+    """SELECT conv_id, turn, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END)
+  OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)::BIGINT AS grp FROM conversations""",
+)
+def q_window_running_group(spark, sf_dir):
+    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
+    c = table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", F.sum(F.when(F.col("role") == "user", 1).otherwise(0)).over(w).cast("bigint").alias("grp"))
+
+
 # --------------------------------------------------------------- aliases ----
 # Ids whose natural check is a composite query (see README, operator map).
 ALIASES = {
@@ -458,14 +508,12 @@ ALIASES = {
     "filter_like_or": "negative_tokens",
     "filter_length": "pair_query",
     "filter_word_count": "exact_match",
-    "filter_min_width": "agg_having",
     "drop_null_elements": "flatten_three_level",
     "join_inner_equi": "window_neighbors",
     "join_inner_expr_hash": "exact_match",
     "join_row_alignment": "line_align",
     "join_three_way": "align_filtered",
     "join_left_outer": "overlap",
-    "join_left_outer_chain": "language_pivot",
     "join_inner_distinct": "overlap_inner",
     "join_approx_similarity": "near_match_lsh",
     "join_range_containment": "table_cells",
@@ -487,16 +535,9 @@ ALIASES = {
     "fn_regexp_extract_all": "negative_tokens",
     "external_kv_table": "memory_lookup",
     "partition_by_source": "file_line_counts",
-    # scalar functions checked together, one column each, in fn_text_scalars
-    **{f: "fn_text_scalars" for f in (
-        "fn_lower", "fn_regexp_replace", "fn_regexp_extract", "fn_split_index", "fn_word_count", "fn_substring",
-        "fn_length", "fn_case_when", "fn_concat", "fn_cast_int", "fn_expr", "fn_sha256", "fn_strip_chars",
-        "fn_squeeze_spaces")},
     "fn_page_number_text": "fn_sentence_end",
     "fn_strip_inline_tags": "html_lines",
     "agg_string_concat": "sentence_extract",
-    "agg_collect_set": "sentence_extract",
-    "window_running_group": "sentence_extract",
     # reference UDFs / RDD maps -> the native operators that replace them
     "udf_extract_tokens": "negative_tokens",
     "udf_sentence_tokenize": "sentence_extract",
@@ -507,6 +548,23 @@ ALIASES = {
     "udf_parse_para": "paragraph_assemble",
     "map_parse_line": "memory_lookup",
 }
+# One plan per scalar function: its columns of the projection above.
+SCALARS = {
+    "fn_lower": ["lower_line"], "fn_regexp_replace": ["normal_form"], "fn_regexp_extract": ["first_number"],
+    "fn_split_index": ["second_word"], "fn_word_count": ["word_count"], "fn_substring": ["last_char", "drop_last"],
+    "fn_length": ["n_chars"], "fn_case_when": ["ends_with_period"], "fn_concat": ["lang_source"],
+    "fn_cast_int": ["first_number_int"], "fn_expr": ["drop_last"], "fn_sha256": ["line_hash", "memory_key"],
+    "fn_strip_chars": ["stripped"], "fn_squeeze_spaces": ["squeezed"],
+}
+
+
+def _scalar(cols):
+    return lambda spark, sf_dir: q_fn_text_scalars(spark, sf_dir).select("doc_id", "line_no", *cols)
+
+
+for _id, _cols in SCALARS.items():
+    QUERIES[_id] = _scalar(_cols)
+    R.ORACLE[_id] = f"SELECT doc_id, line_no, {', '.join(_cols)} FROM ({R.ORACLE['fn_text_scalars']})"
 for _alias, _target in ALIASES.items():
     QUERIES[_alias] = QUERIES[_target]
     if _target in R.ORACLE:

@@ -94,7 +94,7 @@ def q_exact_match(spark, sf_dir):
 
 
 def _near_sides(spark, sf_dir):
-    landed = doc_lines(spark, sf_dir).filter(F.col("lang") == "en").select(F.col("line").alias("sentence"))
+    landed = doc_lines(spark, sf_dir).select(F.col("line").alias("sentence"))
     return _ik_lines(spark, sf_dir), landed
 
 
@@ -105,7 +105,7 @@ def _bigram_set(x: str) -> str:
 _NEAR_SQL = _with(o.DOC_LINES, o.BENCH_LINES) + f"""
 , a AS (SELECT DISTINCT line AS text FROM bench_lines WHERE regexp_matches(line, '[A-Za-z]') AND length(line) >= 2)
 , b AS (SELECT DISTINCT line AS text FROM doc_lines
-        WHERE lang = 'en' AND regexp_matches(line, '[A-Za-z]') AND length(line) >= 2)
+        WHERE regexp_matches(line, '[A-Za-z]') AND length(line) >= 2)
 , ag AS (SELECT text, {_bigram_set('text')} AS g FROM a)
 , bg AS (SELECT text, {_bigram_set('text')} AS g FROM b)
 , pairs AS (SELECT ag.text AS ik_sentence, bg.text AS pdf_sentence, len(ag.g) AS na, len(bg.g) AS nb,
@@ -135,12 +135,17 @@ LANG_SOURCES = {f"src{i}": lang for i, lang in enumerate(al.LANGUAGES)}
 _LANG_MAP_SQL = (
     "(SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{l}')" for s, l in LANG_SOURCES.items()) + ") v(source, lang))"
 )
+# The pivot's binding: two sources per language, all twenty in use.
+PIVOT_SOURCES = {f"src{i}": al.LANGUAGES[i % len(al.LANGUAGES)] for i in range(20)}
+_PIVOT_MAP_SQL = (
+    "(SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{l}')" for s, l in PIVOT_SOURCES.items()) + ") v(source, lang))"
+)
 _NF = o.normal_form
 
 
 def _lang_of(col: str):
     expr = None
-    for s, lang in LANG_SOURCES.items():
+    for s, lang in PIVOT_SOURCES.items():
         expr = (F.when(F.col(col) == s, lang) if expr is None else expr.when(F.col(col) == s, lang))
     return expr
 
@@ -157,13 +162,12 @@ def _clean(spark, sf_dir):
 @register(
     "line_align",
     """SELECT DISTINCT s.text AS src_sentence, t.text AS tgt_sentence
-FROM conversations s JOIN conversations t ON s.conv_id = t.conv_id AND t.turn - 1 = s.turn
-WHERE s.role = 'user' AND t.role = 'assistant'""",
+FROM conversations s JOIN conversations t ON s.conv_id = t.conv_id AND t.turn - 1 = s.turn""",
 )
 def q_line_align(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
-    src = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("line"))
-    tgt = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("line"))
+    src = c.select("conv_id", "turn", F.col("text").alias("line"))
+    tgt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("line"))
     return al.line_align(src, tgt, ["conv_id", "turn"])
 
 
@@ -183,9 +187,10 @@ def q_align_filtered(spark, sf_dir):
     return al.align_filtered(_clean(spark, sf_dir), doc_lines(spark, sf_dir), _next_lines(spark, sf_dir), ["doc_id", "line_no"])
 
 
-_PIVOT_SQL = _with(*_ALIGN_CTES) + f"""
+_PIVOT_SQL = _with(o.DOC_LINES, f"""repeated AS (SELECT line FROM doc_lines GROUP BY line HAVING count(*) > 1),
+clean_norm AS (SELECT DISTINCT {_NF('line')} AS n FROM repeated WHERE {_NF('line')} <> '')""") + f"""
 , s AS (SELECT m.lang, d.doc_id, d.line_no, {_NF('d.line')} AS src_sentence
-        FROM doc_lines d JOIN {_LANG_MAP_SQL} m USING (source)
+        FROM doc_lines d JOIN {_PIVOT_MAP_SQL} m USING (source)
         WHERE {_NF('d.line')} IN (SELECT n FROM clean_norm))
 , t AS (SELECT doc_id, line_no - 1 AS line_no, line AS tgt_sentence FROM doc_lines)
 , al AS (SELECT DISTINCT lang, src_sentence, tgt_sentence FROM s JOIN t USING (doc_id, line_no)
@@ -195,16 +200,16 @@ _PIVOT_SQL = _with(*_ALIGN_CTES) + f"""
 , w AS (SELECT src_sentence, k, {', '.join(f"max(CASE WHEN lang = '{x}' THEN tgt_sentence END) AS {x}" for x in al.LANGUAGES)}
         FROM r GROUP BY src_sentence, k)
 SELECT b.line AS pdf_sentence, w.k, {', '.join('w.' + x for x in al.LANGUAGES)}
-FROM bench_lines b LEFT JOIN w ON {_NF('b.line')} = w.src_sentence"""
+FROM repeated b LEFT JOIN w ON {_NF('b.line')} = w.src_sentence"""
 
 
 @register("language_pivot", _PIVOT_SQL)
 def q_language_pivot(spark, sf_dir):
-    src = doc_lines(spark, sf_dir).filter(F.col("source").isin(*LANG_SOURCES)).withColumn("lang", _lang_of("source"))
-    aligned = al.align_filtered(
-        _clean(spark, sf_dir), src, _next_lines(spark, sf_dir), ["doc_id", "line_no"], carry=["lang"]
-    )
-    return al.language_pivot(_clean(spark, sf_dir), aligned)
+    src = doc_lines(spark, sf_dir).withColumn("lang", _lang_of("source")).filter(F.col("lang").isNotNull())
+    # the clean list: lines that occur more than once
+    clean = doc_lines(spark, sf_dir).groupBy(F.col("line").alias("sentence")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    aligned = al.align_filtered(clean, src, _next_lines(spark, sf_dir), ["doc_id", "line_no"], carry=["lang"])
+    return al.language_pivot(clean, aligned)
 
 
 _ALIGNED_ALL = """aligned AS (
@@ -433,7 +438,7 @@ def line_boxes(spark, sf_dir):
         F.col("l_linenumber").cast("int").alias("page_num"),
         (F.lit(50) * (F.col("l_partkey") % 5)).cast("int").alias("x"),
         (F.col("l_quantity") * 25).cast("int").alias("y"),
-        F.lit(400).alias("w"),
+        (F.lit(40) + F.lit(20) * (F.col("l_suppkey") % 3)).cast("int").alias("w"),
     )
 
 
@@ -456,7 +461,7 @@ _LAYOUT_SQL = """layout AS (
   FROM doc_lines),
 boxes AS (
   SELECT 'doc' || (l_orderkey % 1000)::VARCHAR AS file_id, l_linenumber::INTEGER AS page_num,
-         (50 * (l_partkey % 5))::INTEGER AS x, (l_quantity * 25)::INTEGER AS y, 400 AS w FROM lineitem),
+         (50 * (l_partkey % 5))::INTEGER AS x, (l_quantity * 25)::INTEGER AS y, (40 + 20 * (l_suppkey % 3))::INTEGER AS w FROM lineitem),
 cells AS (
   SELECT filename AS file_id, page_no AS page_num, c.* FROM (SELECT DISTINCT filename, page_no FROM layout WHERE page_no % 3 = 0),
   (VALUES (0, 0, 100, 300, 600, 200), (1, 0, 100, 500, 600, 200)) c(row, col, x, y, w, h))"""
