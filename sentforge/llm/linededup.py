@@ -46,19 +46,41 @@ def _segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
     return base * number + extra, base + F.when(longer >= edits + 1 - number, 1).otherwise(0)
 
 
-def _key(text: str, length: Column, number: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(number), F.substring(F.col(text), start + 1, size))
+def _key(length: Column, number: int, start: Column, size: Column) -> Column:
+    return F.xxhash64(length, F.lit(number), F.substring(F.col("bytes"), start + 1, size))
+
+
+#: Letters counted in a line's sketch: common ones, 8 bits each.
+SKETCH = "etaonirs"
+
+
+def _sketch(line: Column) -> Column:
+    out = F.lit(0).cast("bigint")
+    for k, c in enumerate(SKETCH):
+        n = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
+        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(255)).cast("bigint"), 8 * k))
+    return out
+
+
+def _sketches_apart(a: Column, b: Column) -> Column:
+    """At least so many letters differ between two lines; one edit accounts for two."""
+    total = F.lit(0)
+    for k in range(len(SKETCH)):
+        at = [F.shiftright(x, 8 * k).bitwiseAND(F.lit(255)) for x in (a, b)]
+        d = F.abs(at[0] - at[1])
+        total = total + F.least(d, F.lit(256) - d)  # counts are kept modulo 256
+    return total
 
 
 def segment_keys(lines: DataFrame, edits: int) -> DataFrame:
-    """``(key, h1)``: the segments under which a line is found."""
+    """``(key, h1, sketch)``: the segments under which a line is found."""
     n = F.length("bytes")
-    keys = [_key("bytes", n, i, *_segment(n, i, edits)) for i in range(edits + 1)]
-    return lines.select(F.explode(F.array(*keys)).alias("key"), "h1")
+    keys = [_key(n, i, *_segment(n, i, edits)) for i in range(edits + 1)]
+    return lines.select(F.explode(F.array(*keys)).alias("key"), "h1", "sketch")
 
 
 def probe_keys(lines: DataFrame, edits: int) -> DataFrame:
-    """``(key, h1)``: the substrings that may equal a segment of a line up to ``edits`` shorter."""
+    """``(key, h1, sketch)``: the substrings that may equal a segment of a line up to ``edits`` shorter."""
     n = F.length("bytes")
     keys = []
     for less in range(edits + 1):
@@ -66,8 +88,8 @@ def probe_keys(lines: DataFrame, edits: int) -> DataFrame:
         for i in range(edits + 1):
             start, size = _segment(length, i, edits)
             for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
-                keys.append(_key("bytes", length, i, start + shift, size))
-    return lines.select(F.explode(F.array(*keys)).alias("key"), "h1")
+                keys.append(_key(length, i, start + shift, size))
+    return lines.select(F.explode(F.array(*keys)).alias("key"), "h1", "sketch")
 
 
 def banded_distance(a: Column, b: Column, edits: int) -> Column:
@@ -108,6 +130,29 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     return let(F.split(a, ""), lambda p: let(F.split(b, ""), lambda t: fold(p, t)))
 
 
+def _shared(x: Column, y: Column, most: Column, tail: bool) -> Column:
+    """Length of the common prefix (or suffix) of two strings, at most ``most``: a
+    binary search over powers of two that compares substrings."""
+    def grow(have: Column, step: Column) -> Column:
+        part = lambda s: F.substring(s, F.length(s) - have - step + 1 if tail else have + 1, step)
+        return F.when((have + step <= most) & (part(x) == part(y)), have + step).otherwise(have)
+
+    top = F.floor(F.log2(F.greatest(most, F.lit(1)))).cast("int")
+    powers = F.transform(F.sequence(top, F.lit(0), F.lit(-1)), lambda k: F.pow(F.lit(2.0), k).cast("int"))
+    return F.aggregate(powers, F.lit(0), grow)
+
+
+def trimmed(pairs: DataFrame, x: str, y: str, edits: int) -> DataFrame:
+    """Cut what both strings share at their ends, but for ``edits`` bytes on either
+    side: an edit script never needs the rest."""
+    least = F.least(F.length(x), F.length(y))
+    d = pairs.withColumn("_head", _shared(F.col(x), F.col(y), least, False))
+    d = d.withColumn("_tail", _shared(F.col(x), F.col(y), least - F.col("_head"), True))
+    head, tail = F.greatest(F.col("_head") - edits, F.lit(0)), F.greatest(F.col("_tail") - edits, F.lit(0))
+    cut = lambda c: F.substring(F.col(c), head + 1, F.length(c) - head - tail)
+    return d.withColumns({x: cut(x), y: cut(y)}).drop("_head", "_tail")
+
+
 def _bit_at(x: Column, at: Column) -> Column:
     return F.when(at < 0, 0).otherwise(F.getbit(x, at).cast("int"))
 
@@ -115,14 +160,18 @@ def _bit_at(x: Column, at: Column) -> Column:
 def near_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """Pairs ``(a, b)`` of different lines within ``edits`` byte edits, as structs ``(h1, h2)``.
 
-    ``lines``: ``h1``, ``h2`` and ``bytes`` (one character per byte), one row per line.
-    Candidates carry half of the hash; both lines of an equal half are verified."""
-    found = segment_keys(lines, edits).alias("s").join(probe_keys(lines, edits).alias("p"), "key").filter("s.h1 != p.h1")
+    ``lines``: ``h1``, ``h2``, ``bytes`` and ``sketch``, one row per line.  Candidates
+    carry half of the hash; both lines of an equal half are verified.  The join
+    itself drops pairs whose letter counts differ by more than the edits allow."""
+    s, p = segment_keys(lines, edits).alias("s"), probe_keys(lines, edits).alias("p")
+    close = _sketches_apart(F.col("s.sketch"), F.col("p.sketch")) <= 2 * edits
+    found = s.join(p, (F.col("s.key") == F.col("p.key")) & (F.col("s.h1") != F.col("p.h1")) & close)
     pairs = stage(found.select(F.least("s.h1", "p.h1").alias("a"), F.greatest("s.h1", "p.h1").alias("b")).distinct(), "candidates")
     some = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    texts = stage(lines.filter(Bitmap(some).holds(F.col("h1"))).join(some, "h1", "left_semi").select("h1", "h2", "bytes"), "texts")
+    texts = stage(lines.filter(Bitmap(some).holds(F.col("h1"))).join(some, "h1", "left_semi").select(
+        "h1", "h2", F.decode("bytes", "ISO-8859-1").alias("bytes")), "texts")  # from here on one character per byte
     side = lambda n, t: texts.select(F.col("h1").alias(n), F.struct("h1", "h2").alias(f"{n}_line"), F.col("bytes").alias(t))
-    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    both = trimmed(pairs.join(side("a", "x"), "a").join(side("b", "y"), "b"), "x", "y", edits)
     near = F.when(F.abs(F.length("x") - F.length("y")) <= edits, banded_distance(F.col("x"), F.col("y"), edits) <= edits).otherwise(False)
     return both.filter(near).select(F.col("a_line").alias("a"), F.col("b_line").alias("b")).distinct()
 
@@ -135,11 +184,11 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     firsts = stage(lines.groupBy("h1", "h2").agg(F.min(F.struct("id", "th", "pos")).alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
     # a line that occurs once is surely its own first; copies meet by their hash, combined before the shuffle
     copied = Bitmap(firsts.filter("n > 1").select("h1")).holds(F.col("h1"))
-    long_line = lines.withColumn("bytes", F.decode(F.encode("line", "UTF-8"), "ISO-8859-1")).filter(
-        F.length("bytes") >= near_bytes).select("h1", "h2", "bytes", copied.alias("copied"))
-    single = long_line.filter("not copied").select("h1", "h2", "bytes")
-    several = long_line.filter("copied").groupBy("h1", "h2").agg(F.min("bytes").alias("bytes"))
-    links = stage(near_links(single.unionByName(several), edits), "links")
+    long_line = lines.filter(F.octet_length("line") >= near_bytes)
+    single = long_line.filter(~copied).select("h1", "h2", "line")
+    several = long_line.filter(copied).groupBy("h1", "h2").agg(F.min("line").alias("line"))
+    each = single.unionByName(several).select("h1", "h2", F.encode("line", "UTF-8").alias("bytes"), _sketch(F.col("line")).alias("sketch"))
+    links = stage(near_links(each, edits), "links")
     side = lambda n: firsts.select(F.struct("h1", "h2").alias(n), F.col("first").alias(f"f{n}"))
     late = links.join(side("a"), "a").join(side("b"), "b").select(
         F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("late")).distinct()

@@ -178,7 +178,7 @@ def best_fit_classes(counts: dict[int, int], capacity: int = CAPACITY) -> list[t
     sequences = 0
 
     def put(gap: int, first: int, count: int) -> None:
-        if gap > 0:
+        if gap > 0 and count > 0:
             if not gaps[gap]:
                 bisect.insort(sizes, gap)
             gaps[gap].append((first, count))
@@ -188,9 +188,7 @@ def best_fit_classes(counts: dict[int, int], capacity: int = CAPACITY) -> list[t
         while left:
             at = bisect.bisect_left(sizes, length)  # the successor sweep
             if at == len(sizes):
-                # open new sequences; more of this length may follow into their gaps
-                per = capacity // length
-                opened = -(-left // per) if per > 1 else left
+                opened = -(-left // (capacity // length))
                 put(capacity, sequences, opened)
                 sequences += opened
                 continue
@@ -198,12 +196,18 @@ def best_fit_classes(counts: dict[int, int], capacity: int = CAPACITY) -> list[t
             first, count = gaps[gap].pop()
             if not gaps[gap]:
                 del sizes[at]
-            take = min(left, count)
-            runs.append((length, rank, take, first, capacity - gap))
-            if take < count:
-                put(gap, first + take, count - take)
-            put(gap - length, first, take)
-            rank, left = rank + take, left - take
+            # a sequence stays the successor until it holds no more of this length
+            per = gap // length
+            filled = min(count, left // per)
+            rest = left - filled * per if filled < count else 0
+            for bins, start, each in ((filled, first, per), (int(rest > 0), first + filled, rest)):
+                if bins:
+                    for k in range(each):
+                        runs.append((length, rank, bins, start, capacity - gap + k * length))
+                        rank, left = rank + bins, left - bins
+                    put(gap - each * length, start, bins)
+            used = filled + int(rest > 0)
+            put(gap, first + used, count - used)
     return runs
 
 
