@@ -515,7 +515,6 @@ ALIASES = {
     "join_three_way": "align_filtered",
     "join_left_outer": "overlap",
     "join_inner_distinct": "overlap_inner",
-    "join_approx_similarity": "near_match_lsh",
     "join_range_containment": "table_cells",
     "join_memory_lookup": "memory_lookup",
     "join_memory_miss": "memory_misses",

@@ -1,15 +1,13 @@
 """Readers for the corpus file formats (all DataFrame readers, explicit schemas).
 
-No schema inference anywhere (it costs an extra pass over the data).  The only
-RDD use is the global line number of a text file, which the DataFrame API
-cannot express.
+No schema inference anywhere (it costs an extra pass over the data).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 _QUOTE = {"quote": '"', "escape": '"'}
 
@@ -47,12 +45,17 @@ def read_stage_output(spark: SparkSession, path: str, col: str = "token") -> Dat
 
 
 def read_numbered_lines(spark: SparkSession, path: str, col: str = "value") -> DataFrame:
-    """(line, 0-based global line number) of a text file or folder, in file
-    order.  ``zipWithIndex`` runs one extra job to count lines per partition;
-    for line ids *within a document row* use ``posexplode`` instead."""
-    schema = StructType([StructField(col, StringType()), StructField("row_id", LongType())])
-    rdd = spark.read.text(path).rdd.zipWithIndex().map(lambda p: (p[0][0], p[1]))
-    return spark.createDataFrame(rdd, schema)
+    """(line, 0-based global line number) of a text file or folder, in scan
+    order.  A row's monotonic id is its partition and its place there; a table
+    with the lines of each partition turns that into the global number.  For line
+    ids *within a document row* use ``posexplode`` instead."""
+    place = F.monotonically_increasing_id()
+    lines = spark.read.text(path).select(F.col("value").alias(col), place.alias("_id")).withColumn("_part", F.shiftright("_id", 33))
+    sizes = lines.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
+    return lines.join(starts, "_part").select(
+        col, (F.col("_start") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).alias("row_id"))
 
 
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
