@@ -420,6 +420,7 @@ def q_predicate_find(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- layout ----
+from sentforge.functions import text as T  # noqa: E402
 from sentforge.functions.text import STYLE_RULE_ESCAPED  # noqa: E402
 from sentforge.operators import layout as lay  # noqa: E402
 
@@ -599,20 +600,89 @@ def q_window_neighbors(spark, sf_dir):
 
 
 def _paragraphs(spark, sf_dir, strict=False):
-    lines = layout_lines(spark, sf_dir).persist()
+    lines = layout_lines(spark, sf_dir)
     return lay.paragraphs(lines, line_boxes(spark, sf_dir), table_cell_boxes(spark, sf_dir, lines), strict=strict)
 
 
-@register("paragraph_assemble")
+_SENT_END = f"""coalesce(regexp_matches(line, {o.q('(?i)' + T.END_OF_SENTENCE)}) AND NOT ({" OR ".join(
+    f"right(line, {n}) IN ({', '.join(o.q(x) for x in lst)})"
+    for n, lst in ((4, T.ABBREVIATIONS_4), (5, T.ABBREVIATIONS_5), (6, T.ABBREVIATIONS_6), (7, T.ABBREVIATIONS_7)))}), false)"""
+
+# The paragraph rule line by line: a recursive query carries the open block, its
+# style and trailing blank, and whether a text block ended above.
+_PARAGRAPH_SQL = f"""WITH RECURSIVE {o.DOC_LINES}, {_LAYOUT_SQL}, {_FOOTER_BOXES_SQL},
+foot AS (SELECT file_id, page_num, min(min_y) AS footer_y FROM fb GROUP BY ALL),
+dom AS (SELECT filename, style_key AS para FROM (SELECT filename, style_key, count(*) AS cnt FROM layout GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY filename ORDER BY cnt DESC, style_key ASC NULLS LAST) = 1),
+cell AS (SELECT l.filename, l.page_no, l.idx, c.x AS cx, c.y AS cy FROM layout l
+  JOIN cells c ON l.filename = c.file_id AND l.page_no = c.page_num AND l.top >= c.y AND l.top <= c.y + c.h
+  QUALIFY row_number() OVER (PARTITION BY l.filename, l.page_no, l.idx ORDER BY c.y, c.row, c.col) = 1),
+f AS (SELECT l.filename, l.page_no, l.idx, l.style_key AS sk, d.para, l.top, l.text AS line, coalesce(b.footer_y, -1) AS fy, cell.cx, cell.cy,
+    'top:' || l.top || 'px;left:' || (100 + 20 * (length(l.text) % 3)) || 'px;' AS style,
+    row_number() OVER w - 1 AS i, count(*) OVER p AS n, lead(l.style_key) OVER w AS nx, lag(l.top) OVER w AS pt, lead(l.top) OVER w AS nt,
+    max(CASE WHEN l.style_key = d.para AND trim(l.text) <> '' THEN l.idx END) OVER p AS last_para
+  FROM layout l LEFT JOIN dom d USING (filename) LEFT JOIN foot b ON b.file_id = l.filename AND b.page_num = l.page_no
+  LEFT JOIN cell USING (filename, page_no, idx)
+  WINDOW p AS (PARTITION BY l.filename, l.page_no), w AS (PARTITION BY l.filename, l.page_no ORDER BY l.idx)),
+k AS (SELECT *, {_SENT_END} AS se, i = n - 1 AS last,
+    CASE WHEN (i <= 3 OR n - i <= 3) AND (top < 75 OR top > 1175) THEN 'band' WHEN fy > 0 AND top > fy THEN 'foot'
+         WHEN cy IS NOT NULL THEN 'cell' WHEN sk = para THEN 'body' ELSE 'plain' END AS kind FROM f),
+g AS (SELECT *, CASE WHEN kind = 'band' THEN regexp_matches(line, {o.q('^' + T.PAGE_NUMBER_FORMAT)}) OR trim(line) IN (page_no::VARCHAR, '')
+         WHEN kind = 'foot' AND last THEN trim(line) = page_no::VARCHAR ELSE false END AS num FROM k),
+h AS (SELECT *, CASE WHEN num THEN '' ELSE line END AS text,
+    row_number() OVER (PARTITION BY filename, page_no ORDER BY idx) AS r, count(*) OVER (PARTITION BY filename, page_no) AS m
+  FROM g WHERE NOT (num AND kind = 'band')),
+st AS (
+  SELECT filename, page_no, 0::BIGINT AS r, CAST([] AS VARCHAR[]) AS buf, '' AS tail, '' AS style, false AS ended, true AS closed, '' AS kind,
+    NULL::INTEGER AS cx, NULL::INTEGER AS cy, CAST([] AS STRUCT(t VARCHAR, s VARCHAR, y INTEGER, p VARCHAR)[]) AS said FROM h WHERE r = 1
+  UNION ALL
+  SELECT filename, page_no, r, buf, tail, style, ended OR (closes AND kind IN ('plain', 'body') AND len(buf) > 0), closes, kind, cx, cy,
+    said || CASE WHEN closes AND len(buf) > 0 THEN [{{'t': array_to_string(buf, ' ') || tail, 's': style, 'y': top, 'p': lab}}]
+                 WHEN NOT closes AND r = m AND len(buf) > 0 THEN [{{'t': array_to_string(buf, ' ') || tail, 's': style, 'y': top, 'p': 'end_incomplete'}}]
+                 ELSE [] END
+  FROM (SELECT *, CASE WHEN trim(text) <> '' THEN CASE WHEN kind = 'cell' OR (kind = 'foot' AND NOT last) OR (kind = 'body' AND NOT closes)
+          OR (kind = 'plain' AND NOT fresh) THEN ' ' ELSE '' END WHEN fresh THEN '' ELSE otail END AS tail FROM (
+    SELECT h.filename, h.page_no, h.r, h.m, h.text, h.last, h.top, h.kind, h.cx, h.cy, s.ended, s.tail AS otail, z.fresh,
+      CASE WHEN z.fresh THEN h.style ELSE s.style END AS style,
+      CASE WHEN z.fresh THEN [] ELSE s.buf END || CASE WHEN trim(h.text) <> '' THEN [h.text] ELSE [] END AS buf,
+      s.said || CASE WHEN z.opens AND NOT s.closed AND len(s.buf) > 0
+                     THEN [{{'t': array_to_string(s.buf, ' ') || s.tail, 's': s.style, 'y': h.top, 'p': z.lab}}] ELSE [] END AS said,
+      z.lab, z.closes
+    FROM st s JOIN h ON h.filename = s.filename AND h.page_no = s.page_no AND h.r = s.r + 1, LATERAL (SELECT o1.*, s.closed OR o1.opens AS fresh FROM (SELECT
+      CASE WHEN h.kind = 'cell' THEN s.kind <> 'cell' OR s.cx <> h.cx OR s.cy <> h.cy ELSE h.kind IN ('plain', 'body') AND s.kind = 'cell' END AS opens,
+      CASE WHEN h.top < 75 THEN 'header' WHEN NOT s.ended THEN 'start' WHEN h.idx = h.last_para THEN CASE WHEN h.se THEN 'end_complete' ELSE 'end_incomplete' END
+           WHEN h.top > 1175 OR (h.fy > 0 AND h.top > h.fy) THEN 'footer' WHEN h.cy IS NOT NULL THEN 'table' ELSE 'regular' END AS lab,
+      CASE h.kind WHEN 'band' THEN true WHEN 'foot' THEN h.last
+           WHEN 'body' THEN h.se OR (h.idx = h.last_para AND h.top >= 75 AND s.ended)
+           WHEN 'plain' THEN NOT (NOT h.last AND coalesce(h.pt = h.nt, false)) AND NOT (h.se AND coalesce(h.sk = h.nx, false))
+                AND (h.se OR coalesce(h.nx = h.para, false)) ELSE false END AS closes) o1) z))
+),
+paras AS (SELECT filename, page_no, unnest(said) AS e, (generate_subscripts(said, 1) - 1)::INTEGER AS para_no
+  FROM st JOIN (SELECT filename, page_no, max(m) AS m FROM h GROUP BY ALL) q USING (filename, page_no) WHERE st.r = q.m),
+out AS (SELECT filename, page_no, para_no, e.t AS para_text, e.s AS para_style, page_no AS page_num, e.y AS y_end, e.p AS para_position FROM paras)
+"""
+_XY = "regexp_extract(para_style, 'left:([0-9]+)px', 1)::INTEGER AS x, regexp_extract(para_style, 'top:([0-9]+)px', 1)::INTEGER AS y"
+_STITCH_SQL = _PARAGRAPH_SQL + f""", q AS (SELECT *, {_XY} FROM out),
+s AS (SELECT * FROM q WHERE para_position = 'start'), e AS (SELECT * FROM q WHERE para_position = 'end_incomplete')
+SELECT filename, page_no, para_text, para_style, page_num, y_end, para_position, x, y FROM q WHERE para_position NOT IN ('start', 'end_incomplete')
+UNION ALL SELECT e.filename, e.page_no, e.para_text || ' ' || s.para_text, e.para_style, e.page_no, s.y_end, e.para_position, s.x, s.y
+  FROM s JOIN e ON s.filename = e.filename AND s.page_no = e.page_no + 1
+UNION ALL SELECT filename, page_no, para_text, para_style, page_num, y_end, para_position, x, y FROM s
+  WHERE NOT EXISTS (FROM e WHERE s.filename = e.filename AND s.page_no = e.page_no + 1)
+UNION ALL SELECT filename, page_no, para_text, para_style, page_num, y_end, para_position, x, y FROM e
+  WHERE NOT EXISTS (FROM s WHERE s.filename = e.filename AND s.page_no = e.page_no + 1)"""
+
+
+@register("paragraph_assemble", _PARAGRAPH_SQL + "SELECT * FROM out")
 def q_paragraph_assemble(spark, sf_dir):
     return _paragraphs(spark, sf_dir)
 
 
-@register("line_position")
+@register("line_position", _PARAGRAPH_SQL + "SELECT para_position, count(*)::BIGINT AS n FROM out GROUP BY ALL")
 def q_line_position(spark, sf_dir):
     return _paragraphs(spark, sf_dir).groupBy("para_position").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("paragraph_stitch")
+@register("paragraph_stitch", _STITCH_SQL)
 def q_paragraph_stitch(spark, sf_dir):
     return lay.paragraph_stitch(_paragraphs(spark, sf_dir))
