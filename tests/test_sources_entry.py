@@ -31,6 +31,16 @@ def test_line_csv_and_text(spark):
     assert [(r.value, r.row_id) for r in num][-1] == ("last", 3)
 
 
+def test_numbered_lines_of_a_folder_equal_zip_with_index(spark):
+    d = _tmp()
+    for k in range(5):
+        with open(f"{d}/{k}.txt", "w") as f:
+            f.write("".join(f"{k}-{i}\n" for i in range(3 * k)))
+    want = spark.read.text(d).rdd.zipWithIndex().map(lambda p: (p[0][0], p[1])).collect()
+    got = [tuple(r) for r in R.read_numbered_lines(spark, d).orderBy("row_id").collect()]
+    assert got == sorted(want, key=lambda x: x[1])
+
+
 def test_whole_files_and_partitioned_write(spark):
     d = _tmp()
     for name in ("a", "b"):
