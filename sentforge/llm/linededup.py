@@ -144,10 +144,20 @@ def _shared(x: Column, y: Column, most: Column, tail: bool) -> Column:
 
 def trimmed(pairs: DataFrame, x: str, y: str, edits: int) -> DataFrame:
     """Cut what both strings share at their ends, but for ``edits`` bytes on either
-    side: an edit script never needs the rest."""
+    side: an edit script never needs the rest.  With two edits one lies at either
+    end of what differs, so pairs whose insides are not equal are dropped here."""
     least = F.least(F.length(x), F.length(y))
     d = pairs.withColumn("_head", _shared(F.col(x), F.col(y), least, False))
     d = d.withColumn("_tail", _shared(F.col(x), F.col(y), least - F.col("_head"), True))
+    if edits == 2:
+        m, n = (F.length(c) - F.col("_head") - F.col("_tail") for c in (x, y))
+        inside = F.greatest(m, n) <= edits
+        ends = ((1, 1), (1, 0), (0, 1))  # bytes that an edit takes from x and from y
+        for a, c in ends:
+            for b, e in ends:
+                part = lambda s, k, size: F.substring(F.col(s), F.col("_head") + k + 1, size)
+                inside = inside | ((m - a - b == n - c - e) & (m >= a + b) & (part(x, a, m - a - b) == part(y, c, n - c - e)))
+        d = d.filter(inside)
     head, tail = F.greatest(F.col("_head") - edits, F.lit(0)), F.greatest(F.col("_tail") - edits, F.lit(0))
     cut = lambda c: F.substring(F.col(c), head + 1, F.length(c) - head - tail)
     return d.withColumns({x: cut(x), y: cut(y)}).drop("_head", "_tail")

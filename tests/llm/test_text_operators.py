@@ -124,6 +124,7 @@ def test_banded_distance_equals_edit_distance(spark):
             pairs.append((a, "".join(b)))
     df = spark.createDataFrame(pairs, "a string, b string")
     cut = linededup.trimmed(df.selectExpr("*", "a as x", "b as y"), "x", "y", 2)
+    assert {(r.a, r.b) for r in cut.collect()} >= {p for p in pairs if edit(*p) <= 2}
     for row in cut.select("a", "b", linededup.banded_distance(F.col("x"), F.col("y"), 2).alias("d")).collect():
         assert min(row.d, 3) == min(edit(row.a, row.b), 3), row
     for row in df.select("a", "b", linededup.banded_distance(F.col("a"), F.col("b"), 2).alias("d")).collect():
