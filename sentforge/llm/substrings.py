@@ -35,8 +35,8 @@ from sentforge.llm.common import let, stage
 
 MIN_BYTES = 100
 GRAM = 32  # bytes of an anchor
-CHUNK = 1 << 22  # bytes hashed at a time; positions take 22 bits
-BATCH = 1 << 18  # bytes under one Burrows-Wheeler transform
+CHUNK = 1 << 21  # bytes hashed at a time; positions take 21 bits
+BATCH = 1 << 17  # bytes under one Burrows-Wheeler transform
 RECORD = np.dtype([("anchor", "<u8"), ("block", "<u8"), ("id", "<i8"), ("start", "<i4"), ("doc", "<u2"), ("left", "u1"), ("span", "u1")])
 _PLACE = np.uint64(CHUNK - 1)
 _RNG = np.random.default_rng(101)
