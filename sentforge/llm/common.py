@@ -85,7 +85,7 @@ class Bitmap:
     ``2**low`` to ``2**high`` bits; beyond that more and more values pass, so it
     may only drop rows before an exact join."""
 
-    def __init__(self, hashes: DataFrame, low: int = 14, high: int = 22):
+    def __init__(self, hashes: DataFrame, low: int = 14, high: int = 20):
         h = hashes.columns[0]
         n = hashes.count()
         self.longs = 1 << (min(max((16 * n).bit_length(), low), high) - 6)
