@@ -13,7 +13,10 @@
    extension of its intervals derives the common-prefix values 1, 2, 3, ... and
    stops at ``length``: neighbours whose value is still open then share a whole
    window.  A group of blocks too large for a batch is halved by window offset,
-   with the bytes that all windows of a half contain as its finer key.
+   with the bytes that all windows of a half contain as its finer key: in its task
+   up to ``HELD`` bytes, above that by shuffles on the finer keys, where of equal
+   parts of blocks all but the first go whole.  Windows of a single offset are
+   equal, so no transform sees more than a batch.
 
 The order is (``doc_id``, start); windows are judged on the input and never cross
 texts.  Edge cases: null texts are empty; a null id is the smallest; rows of one
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +41,7 @@ MIN_BYTES = 100
 GRAM = 32  # bytes of an anchor
 CHUNK = 1 << 21  # bytes hashed at a time; positions take 21 bits
 BATCH = 1 << 17  # bytes under one Burrows-Wheeler transform
+HELD = 1 << 22  # bytes of one group that a task may hold
 RECORD = np.dtype([("anchor", "<u8"), ("block", "<u8"), ("id", "<i8"), ("start", "<i4"), ("doc", "<u2"), ("left", "u1"), ("span", "u1")])
 _PLACE = np.uint64(CHUNK - 1)
 _RNG = np.random.default_rng(101)
@@ -267,7 +272,7 @@ def common_prefix_cuts(text: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
         ahead = np.zeros(n, np.int64)
         ahead[:-have or None] = rank[have:] if have < n else 0
         key = rank * (n + sigma + 2) + ahead
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # ties share more than ``have`` symbols: their order is free
         sorted_key = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate([[1], sorted_key[1:] != sorted_key[:-1]]))
@@ -342,9 +347,9 @@ class Blocks:
 
 
 def _halves(rows: list[tuple], length: int, low: int, high: int, limit: int) -> Iterator[list[tuple]]:
-    """Groups of at most ``limit`` bytes (or of single window offsets) that hold all equal windows
-    together; ``low`` to ``high``: bytes before the anchor in the windows."""
-    if low == high or sum(len(r[4]) for r in rows) <= limit:
+    """Groups of at most ``limit`` bytes (or of single window offsets: equal windows) that hold all equal
+    windows together; ``low`` to ``high``: bytes before the anchor in the windows."""
+    if low == high or sum(len(r[4]) + 1 for r in rows) <= limit:
         yield rows
         return
     middle = (low + high) // 2
@@ -361,7 +366,7 @@ def _halves(rows: list[tuple], length: int, low: int, high: int, limit: int) ->
 
 
 def _windows(length: int, limit: int = BATCH):
-    """Settle candidate blocks; rows come sorted by anchor."""
+    """Settle candidate blocks; rows come sorted by anchor and place."""
     def run(batches):
         def done(found):
             found = list(found)
@@ -375,7 +380,12 @@ def _windows(length: int, limit: int = BATCH):
             nonlocal batch
             if len(group) > 1:
                 for part in _halves(group, length, 0, length - GRAM, limit):
-                    if batch.size + sum(len(r[4]) + 1 for r in part) > limit:
+                    size = sum(len(r[4]) + 1 for r in part)
+                    if size > limit:  # windows of a single offset are equal
+                        lead = min((i, start) for i, _, start, _, _ in part)
+                        yield from done((i, th, start, start + length) for i, th, start, _, _ in part if (i, start) != lead)
+                        continue
+                    if batch.size + size > limit:
                         yield from done(batch.settle())
                         batch = Blocks(length)
                     batch.add(part)
@@ -385,13 +395,56 @@ def _windows(length: int, limit: int = BATCH):
                 if anchor != at:
                     yield from close()
                     at, group = anchor, []
-                group.append((i, th, start, left, data))
+                if not group or group[-1] != (i, th, start, left, data):  # a repeated row
+                    group.append((i, th, start, left, data))
         yield from close()
         yield from done(batch.settle())
 
     return run
 
 
+SPAN = "id bigint, th bigint, start bigint, stop bigint"
+
+
+def _settled(blocks: DataFrame, length: int) -> DataFrame:
+    return blocks.repartition("anchor").sortWithinPartitions("anchor", "id", "th", "start").select(
+        "anchor", "id", "th", "start", "left", "data").mapInArrow(_windows(length), SPAN)
+
+
+def _halved(blocks: DataFrame, length: int, held: int) -> DataFrame:
+    """The spans of `_windows` for groups above ``held`` bytes, which no task gathers.
+
+    Rounds of halving by window offset.  The bytes that all windows of a half
+    contain, under the group's key, are its finer key (``anchor``, hashed: it only
+    brings blocks together).  Of equal parts of blocks, found by a partial
+    aggregate and a join on their bytes, all but the first go whole; groups that
+    now fit are settled by `_windows`, the others are halved again."""
+    rows, out = blocks.withColumn("low", F.lit(0)).withColumn("high", F.lit(length - GRAM)), []
+    while True:
+        middle = F.floor((F.col("low") + F.col("high")) / 2).cast("int")
+        half = lambda lo, hi: F.struct(
+            lo.alias("low"), hi.alias("high"), F.greatest(F.lit(0), F.col("left") - hi).alias("a"),
+            F.least(F.length("data") - length, F.col("left") - lo).alias("b"))  # first and last window
+        rows = rows.withColumn("h", F.explode(F.array(half(F.col("low"), middle), half(middle + 1, F.col("high"))))).filter("h.a <= h.b")
+        key = F.expr(f"substring(data, left - h.low + 1, {length} - (h.high - h.low))")
+        rows = rows.select(
+            F.xxhash64("anchor", "h.low", key).alias("anchor"), "id", "th", (F.col("start") + F.col("h.a")).alias("start"),
+            (F.col("left") - F.col("h.a")).alias("left"), F.expr(f"substring(data, h.a + 1, h.b - h.a + {length})").alias("data"), "h.low", "h.high")
+        same = ["anchor", "left", "data"]
+        leads = stage(rows.groupBy(same).agg(F.min(F.struct("id", "start")).alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "leads")
+        rows = stage(rows.join(leads, same, "left").withColumn(
+            "again", F.coalesce(F.struct("id", "start") != F.col("lead"), F.lit(False))).drop("lead"), "halves")
+        out.append(rows.filter("again").select("id", "th", "start", (F.col("start") + F.length("data")).alias("stop")))
+        # what is left of a single offset has no equal that starts earlier
+        rows = rows.filter("not again and low < high").drop("again")
+        sizes = stage(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("data") + 1).alias("size")).filter("n > 1"), "sizes")
+        rows = rows.join(sizes.drop("n"), "anchor")
+        out.append(_settled(rows.filter(F.col("size") <= held), length))
+        rows = rows.filter(F.col("size") > held).drop("size")
+        if sizes.filter(F.col("size") > held).isEmpty():
+            return reduce(DataFrame.unionByName, out)
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = MIN_BYTES) -> DataFrame:
     """``(id, th, spans)``: per text the sorted ``(start, stop)`` byte stretches, not
     yet merged, that start earlier elsewhere; null ids show as the smallest integer."""
@@ -411,8 +464,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = fetched.select("id", "th", F.explode(let(data, lambda d: F.transform("blocks", lambda b: F.struct(
         b["anchor"].alias("anchor"), b["start"].alias("start"), b["left"].alias("left"),
         F.substring(d, (b["start"] + 1).cast("int"), (b["stop"] - b["start"]).cast("int")).alias("data"))))).alias("b"))
-    blocks = blocks.select("b.anchor", "id", "th", "b.start", "b.left", "b.data").repartition("anchor").sortWithinPartitions("anchor")
-    more = blocks.mapInArrow(_windows(length), "id bigint, th bigint, start bigint, stop bigint")
+    blocks = blocks.select("b.anchor", "id", "th", "b.start", "b.left", "b.data")
+    large = stage(met.filter("kind = 'candidate'").groupBy("anchor").agg(F.sum(F.col("stop") - F.col("start") + 1).alias("size")).filter(
+        F.col("size") > HELD).select("anchor"), "large")
+    if large.isEmpty():
+        more = _settled(blocks, length)
+    else:
+        blocks = stage(blocks.join(large.withColumn("large", F.lit(True)), "anchor", "left"), "blocks")
+        more = _settled(blocks.filter("large is null"), length).unionByName(_halved(blocks.filter("large").drop("large"), length, HELD))
     return gone.unionByName(more).groupBy("id", "th").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
 
 

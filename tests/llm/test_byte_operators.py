@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -135,6 +136,45 @@ def test_repeated_substrings(make, words, spark, monkeypatch, batch):
     assert substrings.cut_spans(docs.limit(0)).count() == 0
 
 
+def test_many_blocks_of_one_anchor(make, words, monkeypatch):
+    a = words(40, 1)
+    rows = [(k, words(4, 100 + k) + a + words(5, 900 + k)) for k in range(60)]
+    rows += [(k, words(4, 100 + k) + a) for k in (3, 3, 70)] + [(None, a[1:]), (None, "x" + a), (80, a + a)]
+    held, whole = 3000, substrings._windows
+
+    def windows(length, limit=600):
+        run = whole(length, limit)
+
+        def checked(batches):
+            sizes = {}
+            for b in batches:
+                for anchor, data in zip(b.column("anchor").to_pylist(), b.column("data").to_pylist(), strict=True):
+                    sizes[anchor] = sizes.get(anchor, 0) + len(data) + 1
+                assert max(sizes.values(), default=0) <= held
+                yield from run([b])  # one batch here: the test is small
+
+        return checked
+
+    monkeypatch.setattr(substrings, "HELD", held, raising=False)
+    monkeypatch.setattr(substrings, "_windows", windows)
+    got = substrings.cut_spans(make(rows), keep=["doc_id"]).collect()
+    assert sorted((str(r.row.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == cover(rows, 100)
+
+
+def test_no_transform_above_the_limit(words, monkeypatch):
+    seen, whole = [], substrings.common_prefix_cuts
+    monkeypatch.setattr(substrings, "common_prefix_cuts", lambda text, n: seen.append(len(text)) or whole(text, n))
+    passage, n = words(60, 1).encode()[:140], 50
+    rows = [(7, k, k, 10, 40, b"%010d" % (k * 7919) + passage) for k in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["anchor", "id", "th", "start", "left", "data"])
+    gone = set()
+    for b in substrings._windows(100, 2000)([batch]):
+        for i, _, start, stop in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            gone |= {(i, s) for s in range(start, stop - 99)}
+    assert gone >= {(k, 10 + o) for k in range(1, n) for o in range(10, 41)} and not any(i == 0 for i, _ in gone)
+    assert max(seen, default=0) <= 2000
+
+
 def test_interval_expansion_finds_common_prefixes():
     r = random.Random(2)
     text = np.array([r.randint(1, 3) for _ in range(300)] + [0])
