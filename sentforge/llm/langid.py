@@ -6,9 +6,9 @@ vector bundles (adds) those of its n-grams, a language's prototype bundles those
 of its training texts, and a text takes the language whose prototype has the
 largest cosine with it.
 
-Letters are lower-cased and dealt into ``2**LETTER_BITS`` symbols; runs of other
-characters are one word break.  There are thus at most ``2**(3 * LETTER_BITS)``
-n-grams, whose vectors form one table per worker.
+Letters are lower-cased and each has its own vector, the bits of hashes of its
+code point, so no alphabet is listed or folded; runs of other characters are one
+word break.  The n-grams that occur in a text are bound from their letters.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; null
 languages teach nothing; with no training text at all every text is ``und``;
@@ -25,70 +25,74 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LETTER_BITS = 5
+POINT_BITS = 21  # bits of a code point
 DIMENSIONS = 512
 NGRAM = 3
 UNKNOWN = "und"
 TRAIN_PER_LANGUAGE = 1000  # training texts per language: the bound on what is fitted
 _BLOCK = 1 << 20  # characters turned into n-grams at a time
+_BIND = 1 << 12  # n-grams bound at a time
 
 
 @cache
 def _letter_codes() -> np.ndarray:
-    """Symbol of every code point of the first plane: 0 for none, 1.. for letters."""
-    codes = np.zeros(1 << 16, np.uint8)
-    spread = (1 << LETTER_BITS) - 1
-    for c in range(1 << 16):
+    """Lower-case letter of every code point; 0 for what is no letter."""
+    codes = np.zeros(0x110000, np.int64)
+    for c in range(len(codes)):
         if chr(c).isalpha():
-            low = chr(c).lower()[0]
-            codes[c] = 1 + (ord(low) - 97 if "a" <= low <= "z" else ord(low) * 7) % spread
+            codes[c] = ord(chr(c).lower()[0])
     return codes
 
 
-@cache
-def _table(seed: int = 5) -> np.ndarray:
-    """Vector of every n-gram of symbols (int8)."""
-    n = 1 << LETTER_BITS
-    letters = np.random.default_rng(seed).choice(np.array([-1, 1], np.int8), (n, DIMENSIONS))
-    place = [np.roll(letters, k, axis=1) for k in range(NGRAM)]
-    grams = place[0]
-    for p in place[1:]:
-        grams = (grams[:, None, :] * p[None, :, :]).reshape(-1, DIMENSIONS)
-    return grams
+def _vectors(points: np.ndarray, seed: int = 5) -> np.ndarray:
+    """Vector of -1 and 1 (int8) of every letter: the bits of hashes of its code point."""
+    keys = np.random.default_rng(seed).integers(0, 1 << 64, DIMENSIONS // 64, np.uint64)
+    h = (points.astype(np.uint64)[:, None] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ keys
+    for shift, odd in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(odd)
+    h ^= h >> np.uint64(31)
+    bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(len(points), -1), axis=1)
+    return bits.astype(np.int8) * 2 - 1
 
 
 def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-gram ids of a whole text and their counts; empty without letters."""
-    total = np.zeros(1 << (NGRAM * LETTER_BITS), np.int64)
-    last = np.zeros(0, np.uint8)
+    """Distinct n-grams of a whole text (their code points in one integer) and their counts; empty without letters."""
+    ids, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    last = np.zeros(0, np.int64)
     some = False
     for at in range(0, len(text or ""), _BLOCK):
-        points = np.frombuffer(text[at:at + _BLOCK].encode("utf-32-le", "surrogatepass"), np.uint32)
-        codes = _letter_codes()[np.minimum(points, 0xFFFF)]
-        for c in np.unique(points[points > 0xFFFF]):  # letters beyond the first plane
-            if chr(c).isalpha():
-                codes[points == c] = 1 + int(c) * 7 % ((1 << LETTER_BITS) - 1)
+        codes = _letter_codes()[np.frombuffer(text[at:at + _BLOCK].encode("utf-32-le", "surrogatepass"), np.uint32)]
         some = some or bool(codes.any())
-        start = last if at else np.zeros(1, np.uint8)
+        start = last if at else np.zeros(1, np.int64)
         codes = np.concatenate([start, codes])
         codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]  # one symbol per break
         if at + _BLOCK >= len(text):
-            codes = np.concatenate([codes, np.zeros(1, np.uint8)])
+            codes = np.concatenate([codes, np.zeros(1, np.int64)])
         if len(codes) >= NGRAM:
-            c = codes.astype(np.int32)
-            grams = (c[:-2] << (2 * LETTER_BITS)) | (c[1:-1] << LETTER_BITS) | c[2:]
-            total += np.bincount(grams, minlength=len(total))
+            grams = (codes[:-2] << (2 * POINT_BITS)) | (codes[1:-1] << POINT_BITS) | codes[2:]
+            found, n = np.unique(grams, return_counts=True)
+            if len(ids):
+                found, place = np.unique(np.concatenate([ids, found]), return_inverse=True)
+                n = np.bincount(place, weights=np.concatenate([counts, n])).astype(np.int64)
+            ids, counts = found, n
         last = codes[-(NGRAM - 1):]
-    ids = np.flatnonzero(total) if some else np.zeros(0, np.int64)
-    return ids, total[ids]
+    return (ids, counts) if some else (ids[:0], counts[:0])
 
 
 def bundle(text: str | None) -> np.ndarray:
     """The text's vector; zero without letters."""
     ids, counts = gram_counts(text)
-    if not len(ids):
-        return np.zeros(DIMENSIONS)
-    return counts.astype(np.float32) @ _table()[ids].astype(np.float32)
+    total = np.zeros(DIMENSIONS)
+    for at in range(0, len(ids), _BIND):
+        some = ids[at:at + _BIND]
+        places = [(some >> (k * POINT_BITS)) & ((1 << POINT_BITS) - 1) for k in reversed(range(NGRAM))]
+        letters, which = np.unique(np.concatenate(places), return_inverse=True)
+        vectors = _vectors(letters)
+        grams = np.ones((len(some), DIMENSIONS), np.int8)
+        for k, w in enumerate(which.reshape(NGRAM, -1)):
+            grams *= np.roll(vectors, k, axis=1)[w]
+        total += counts[at:at + _BIND].astype(np.float32) @ grams.astype(np.float32)
+    return total
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

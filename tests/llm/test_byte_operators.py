@@ -222,6 +222,26 @@ def test_languages(make, spark):
     assert langid.identify(docs.limit(0), {}).count() == 0
 
 
+def test_every_letter_has_its_own_vector():
+    def cosine(a, b):
+        a, b = langid.bundle(a), langid.bundle(b)
+        return a @ b / np.sqrt((a @ a) * (b @ b))
+
+    pairs = ["ét", "中二", "한국"]
+    letters = [c for c in map(chr, range(0xAC00, 0xAC00 + 120))] + list("abcdefghijklmnopqrstuvwxyzéèñüßдж中文二") + ["\U00010428"]
+    vectors = {langid.bundle(c * 3).tobytes() for c in letters}
+    assert len(vectors) == len(letters)
+    assert all(abs(cosine(x * 5, y * 5)) < 0.5 for x, y in pairs)
+    assert cosine("ÉTÉ", "été") > 0.999
+    whole, block = "straße 한국어 " * 50, langid._BLOCK
+    try:
+        langid._BLOCK = 7
+        parts = langid.bundle(whole)
+    finally:
+        langid._BLOCK = block
+    assert np.array_equal(parts, langid.bundle(whole))
+
+
 def test_toxicity(spark, words):
     r = random.Random(9)
     rows, labels = [], []
