@@ -19,6 +19,7 @@ every log weight is that against a uniform model; an empty table gives none.
 from __future__ import annotations
 
 import math
+import sys
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,28 +71,44 @@ def weigh(docs: DataFrame, ratios: list[float], id_col: str = "doc_id", text_col
 
 
 def kth_largest(keys: DataFrame, col: str, k: int) -> float | None:
-    """The exact ``k``-th largest value of a double column (None if there are fewer rows)."""
-    low, high, above = None, None, 0
+    """The exact ``k``-th largest value of a double column (None if there are fewer rows).
+
+    Order: NaN, infinity, the finite values, minus infinity; nulls are left out.
+    Every round leaves a narrower range of finite values, so it ends on every input."""
     part = keys.select(F.col(col).alias("x")).filter(F.col("x").isNotNull())
+    inf = F.lit(math.inf)
+    kinds = {r["x"]: r["n"] for r in part.groupBy(
+        F.when(F.isnan("x"), 2).when(F.col("x") == inf, 1).when(F.col("x") == -inf, -1).otherwise(0).alias("x")).agg(
+            F.count(F.lit(1)).alias("n")).collect()}  # at most four rows
+    if k < 1:
+        return None
+    above = 0
+    for kind, value in ((2, math.nan), (1, math.inf)):
+        above += kinds.get(kind, 0)
+        if k <= above:
+            return value
+    if k > above + kinds.get(0, 0):
+        return -math.inf if k <= above + kinds.get(0, 0) + kinds.get(-1, 0) else None
+    low, high = -sys.float_info.max, sys.float_info.max
     while True:
-        inside = part if low is None else part.filter((F.col("x") >= low) & (F.col("x") <= high))
+        inside = part.filter((F.col("x") >= low) & (F.col("x") <= high))
         n, least, most = inside.agg(F.count(F.lit(1)), F.min("x"), F.max("x")).first()
-        if above + n < k or k < 1:
-            return None
         if least == most:
             return least
         if n <= _FEW:
             found = sorted((r["x"] for r in inside.collect()), reverse=True)  # at most _FEW rows
             return found[k - above - 1]
-        width = (most - least) / _BINS
-        if width == 0 or least + width == least:  # neighbours in floating point
+        width = most / _BINS - least / _BINS
+        if width == 0 or least + width == least or most - width == most:  # neighbours in floating point: few values
             found = sorted(((r["x"], r["count"]) for r in inside.groupBy("x").count().collect()), reverse=True)
             for x, c in found:
                 above += c
                 if above >= k:
                     return x
-        slot = F.least(F.floor((F.col("x") - least) / width), F.lit(_BINS - 1))
+        slot = F.floor(F.greatest(F.least(F.col("x") / width - F.lit(least / width), F.lit(_BINS - 1.0)), F.lit(0.0)))
         bins = inside.groupBy(slot.alias("s")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
+        if len(bins) < 2:
+            raise RuntimeError(f"a range that does not shrink: {least} to {most}")
         for r in sorted(bins, key=lambda r: -r["s"]):
             if above + r["n"] >= k:
                 low, high = r["lo"], r["hi"]

@@ -207,10 +207,27 @@ def test_resampling(make, spark, odd_rows, words):
 
 
 def test_kth_largest(spark):
-    values = [float(i % 97) for i in range(6000)] + [1e300, -1e300, float("-inf")]
-    df = spark.createDataFrame([(v,) for v in values], "x double")
-    for k in (1, 2, 50, 3000, 6003):
+    inf = float("inf")
+    values = [float(i % 97) for i in range(6000)] + [1e300, -1e300, -inf, inf, 1.7e308, -1.7e308]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    for k in (1, 2, 3, 50, 3000, 6004, 6005, 6006):
         assert resampling.kth_largest(df, "x", k) == sorted(values, reverse=True)[k - 1]
     assert resampling.kth_largest(df, "x", 0) is None and resampling.kth_largest(df, "x", 7000) is None
 
 
+def test_kth_largest_ends_on_odd_values(spark):
+    import math
+
+    one = spark.createDataFrame([(0.5,)] * 5000, "x double")
+    assert resampling.kth_largest(one, "x", 4999) == 0.5
+    close = [0.1 + i * math.ulp(0.1) for i in range(5000)]
+    df = spark.createDataFrame([(v,) for v in close], "x double")
+    assert resampling.kth_largest(df, "x", 1234) == sorted(close, reverse=True)[1233]
+    tiny = [i * 5e-324 for i in range(5000)]
+    assert resampling.kth_largest(spark.createDataFrame([(v,) for v in tiny], "x double"), "x", 77) == sorted(tiny, reverse=True)[76]
+    nan = spark.createDataFrame([(float("nan"),)] * 3 + [(float("inf"),)] + [(float(i),) for i in range(5000)], "x double")
+    assert math.isnan(resampling.kth_largest(nan, "x", 3)) and resampling.kth_largest(nan, "x", 4) == math.inf
+    assert resampling.kth_largest(nan, "x", 5) == 4999.0
+    assert resampling.kth_largest(one.limit(0), "x", 1) is None
+
+
