@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentforge.llm import decontaminate, langid, linededup, packing, quality, resampling, simhash, substrings, toxicity, warc
+from sentforge.llm import decontaminate, langid, linededup, packing, quality, resampling, sharding, simhash, substrings, toxicity, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -116,3 +116,22 @@ FROM judged GROUP BY doc_id
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = substrings.cut_spans(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return d.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = sharding.byte_shards(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return s.select("row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+ORACLE["op12_sharding"] = """
+WITH tab AS (SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM range(256) r(b)),
+d AS (SELECT doc_id, (coalesce(strlen(text), 0) + 8)::BIGINT AS size,
+  xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295), 4294967295)::BIGINT AS text_crc32 FROM documents, tab),
+p AS (SELECT *, sum(size) OVER (ORDER BY doc_id) AS upto, sum(size) OVER () AS whole FROM d),
+s AS (SELECT *, ((2 * upto - size) * 24 // (2 * whole))::INTEGER AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot,
+  NULL::INTEGER AS grown_shard FROM s
+"""
