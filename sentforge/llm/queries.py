@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentforge.llm import decontaminate, langid, linededup, packing, quality, resampling, sharding, simhash, substrings, toxicity, warc
+from sentforge.llm import decontaminate, langid, linededup, packing, quality, recompress, resampling, sharding, simhash, substrings, toxicity, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -135,3 +135,12 @@ s AS (SELECT *, ((2 * upto - size) * 24 // (2 * whole))::INTEGER AS shard FROM p
 SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot,
   NULL::INTEGER AS grown_shard FROM s
 """
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = recompress.find_runs(table(spark, sf_dir, "documents"), plant=True, keep=["doc_id"], texts=False)
+    best = recompress.longest_run(F.col("runs"))
+    return r.select("row.doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+                    best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+                    "runs_sha256", "collapsed_sha256")
