@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentforge.llm import decontaminate, langid, linededup, packing, quality, recompress, resampling, sharding, simhash, substrings, toxicity, warc
+from sentforge.llm import conversations, decontaminate, langid, linededup, packing, quality, recompress, resampling, sharding, simhash, substrings, toxicity, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -144,3 +144,14 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("row.doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
                     best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
                     "runs_sha256", "collapsed_sha256")
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    r = conversations.repair_conversations(conversations.damaged(rows)).withColumnRenamed("conv", "_conv")
+    ids = rows.select("conv_id").distinct()
+    zero = lambda name: F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name)
+    return ids.join(r, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").select(
+        "conv_id", *map(zero, ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
