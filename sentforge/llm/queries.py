@@ -124,9 +124,12 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-ORACLE["op12_sharding"] = """
-WITH tab AS (SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) ORDER BY b) AS t
-  FROM range(256) r(b)),
+#: The table of CRC-32, by its rule.
+_CRC_TABLE = """tab AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM range(256) r(b))"""
+
+ORACLE["op12_sharding"] = f"WITH {_CRC_TABLE}," + """
 d AS (SELECT doc_id, (coalesce(strlen(text), 0) + 8)::BIGINT AS size,
   xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT),
     lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295), 4294967295)::BIGINT AS text_crc32 FROM documents, tab),
@@ -155,3 +158,50 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.join(r, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").select(
         "conv_id", *map(zero, ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")), F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+ORACLE["op11_conversation_repair"] = f"WITH RECURSIVE {_CRC_TABLE}," + """
+d AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))), '..'),
+    lambda x: ('0x' || x)::BIGINT), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295), 4294967295) % 20 AS what FROM conversations, tab),
+e AS (SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role,
+  CASE WHEN what = 1 THEN '' WHEN what = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE what WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS k FROM d),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, k) AS i,
+  right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS z FROM e),
+f AS (SELECT *, CASE WHEN z = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN z NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, left(role, 1) AS r,
+  left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS met FROM o),
+edges(p, q, c, a, kind, init) AS (SELECT p, q, c + x, a || y, kind, init FROM
+  (VALUES (0, 0, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'), (1, 1, 0, ''), (1, 2, 5, 'I'), (1, 3, 10, 'II'),
+          (2, 2, 0, ''), (2, 3, 5, 'I'), (2, 2, 10, 'II'), (3, 3, 0, ''), (3, 2, 5, 'I'), (3, 3, 10, 'II')) g(p, m, c, a),
+  (VALUES (0, 0, 2, 'D', 'any', ''), (1, 1, 2, 'D', 'any', ''), (2, 2, 2, 'D', 'any', ''), (3, 3, 2, 'D', 'any', ''),
+          (0, 2, 1, 'R', 'stay', ''), (1, 2, 1, 'R', 'stay', ''), (3, 2, 1, 'R', 'stay', ''), (2, 3, 1, 'R', 'stay', ''),
+          (0, 1, 0, 'K', 'stay', 's'), (0, 2, 0, 'K', 'stay', 'u'), (1, 2, 0, 'K', 'stay', 'u'), (3, 2, 0, 'K', 'stay', 'u'),
+          (2, 3, 0, 'K', 'stay', 'a')) h(s, q, x, y, kind, init) WHERE s = m),
+w AS (SELECT conv_id, 0::BIGINT AS i, 0 AS state, 0 AS cost, '' AS audit FROM o WHERE i = 1
+  UNION ALL
+  SELECT conv_id, i, q, cost, audit FROM (
+    SELECT w.conv_id, f.i, g.q, w.cost + g.c + CASE WHEN f.fault = 'truncated' AND g.kind = 'stay' THEN 5 ELSE 0 END AS cost, w.audit || g.a AS audit
+    FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+    JOIN edges g ON g.p = w.state AND (g.kind = 'any' OR f.fault NOT IN ('blank', 'duplicate')) AND g.init IN ('', f.r))
+  QUALIFY row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) = 1),
+n AS (SELECT conv_id, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+  count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (met NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+best AS (SELECT w.conv_id, cost + [0, 10, 5, 0][state + 1] AS cost, audit || ['', 'II', 'I', ''][state + 1] AS audit
+  FROM w JOIN n ON w.conv_id IS NOT DISTINCT FROM n.conv_id AND w.i = n.rows
+  QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY cost + [0, 10, 5, 0][state + 1], audit || ['', 'II', 'I', ''][state + 1]) = 1),
+ops AS (SELECT conv_id, k, audit[k] AS op, len(replace(replace(left(audit, k), 'I', ''), ' ', '')) AS i,
+  FROM (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS k FROM best)),
+said AS (SELECT ops.conv_id, ops.k, ops.op, f.role, f.text, f.r, count(*) OVER (PARTITION BY ops.conv_id ORDER BY ops.k) AS m,
+    max(CASE WHEN ops.op = 'K' AND f.r = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY ops.conv_id) AS s
+  FROM ops LEFT JOIN f ON ops.conv_id IS NOT DISTINCT FROM f.conv_id AND ops.i = f.i AND ops.op <> 'I' WHERE ops.op <> 'D'),
+lines AS (SELECT conv_id, k, CASE WHEN op = 'K' THEN role ELSE CASE WHEN (m - s) % 2 = 1 THEN 'user' ELSE 'assistant' END END || ':' ||
+    CASE WHEN op = 'I' THEN '' ELSE text END AS line FROM said),
+told AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY k) AS text FROM lines GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(told.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON c.conv_id IS NOT DISTINCT FROM n.conv_id
+LEFT JOIN best ON c.conv_id IS NOT DISTINCT FROM best.conv_id LEFT JOIN told ON c.conv_id IS NOT DISTINCT FROM told.conv_id
+"""
