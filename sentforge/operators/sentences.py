@@ -40,6 +40,29 @@ def numbered_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
+def boundary_pieces(lines: DataFrame, key_cols: Sequence[str], text_col: str) -> DataFrame:
+    """Lines cut after every possible sentence end: key columns, ``piece_no``, ``piece`` and ``next_piece`` (null for the last)."""
+    keys = [F.col(k) for k in key_cols]
+    norm = F.trim(F.regexp_replace(F.col(text_col), r"\s+", " "))
+    cut = lines.select(*keys, norm.alias("_norm")).filter(F.col("_norm") != "").select(
+        *keys, F.split("_norm", _SPLIT_AFTER_BOUNDARY).alias("_p"))
+    zipped = F.transform("_p", lambda x, i: F.struct(x.alias("piece"), F.get("_p", i + 1).alias("next_piece")))
+    return cut.select(*keys, F.posexplode(zipped).alias("piece_no", "_x")).select(*keys, "piece_no", "_x.piece", "_x.next_piece")
+
+
+def join_pieces(pieces: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """Pieces (``piece_no``, ``piece``) whose ``_glue`` is set are joined with the next one: key columns, ``sentence_no``, ``sentence``."""
+    keys = [F.col(k) for k in key_cols]
+    w = Window.partitionBy(*keys).orderBy("piece_no")
+    starts = F.when(F.coalesce(F.lag("_glue").over(w), F.lit(False)), 0).otherwise(1)
+    pieces = pieces.withColumn("sentence_no", F.sum(starts).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    return pieces.groupBy(*keys, "sentence_no").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("piece_no", "piece"))), lambda x: x["piece"]), " "
+        ).alias("sentence")
+    )
+
+
 def sentence_split(
     lines: DataFrame,
     abbreviations: DataFrame | None,
@@ -75,14 +98,7 @@ def sentence_split(
             "_glue", F.col("_abbr").isNotNull()).drop("_jk", "_abbr")
     else:
         pieces = pieces.withColumn("_glue", F.lit(False))
-    w = Window.partitionBy(*keys).orderBy("piece_no")
-    starts = F.when(F.coalesce(F.lag("_glue").over(w), F.lit(False)), 0).otherwise(1)
-    pieces = pieces.withColumn("sentence_no", F.sum(starts).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    return pieces.groupBy(*keys, "sentence_no").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("piece_no", "piece"))), lambda x: x["piece"]), " "
-        ).alias("sentence")
-    )
+    return join_pieces(pieces, key_cols)
 
 
 def sentence_extract(

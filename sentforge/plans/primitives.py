@@ -539,7 +539,6 @@ ALIASES = {
     "agg_string_concat": "sentence_extract",
     # reference UDFs / RDD maps -> the native operators that replace them
     "udf_extract_tokens": "negative_tokens",
-    "udf_sentence_tokenize": "sentence_extract",
     "udf_parse_html": "html_lines",
     "udf_parse_array": "fn_parse_array_string",
     "udf_filename": "fn_basename",
