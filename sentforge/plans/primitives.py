@@ -516,10 +516,6 @@ ALIASES = {
     "join_left_outer": "overlap",
     "join_inner_distinct": "overlap_inner",
     "join_range_containment": "table_cells",
-    "join_memory_lookup": "memory_lookup",
-    "join_memory_miss": "memory_misses",
-    "memory_point_get": "memory_lookup",
-    "memory_put": "memory_upsert",
     "distinct_select": "line_align",
     "agg_last_by_key": "footer_lines",
     "window_last_matching": "window_neighbors",
@@ -532,7 +528,6 @@ ALIASES = {
     "fn_explode": "scan_numbered_lines",
     "fn_arithmetic": "agg_having",
     "fn_regexp_extract_all": "negative_tokens",
-    "external_kv_table": "memory_lookup",
     "partition_by_source": "file_line_counts",
     "fn_page_number_text": "fn_sentence_end",
     "fn_strip_inline_tags": "html_lines",
