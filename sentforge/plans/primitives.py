@@ -515,7 +515,6 @@ ALIASES = {
     "join_three_way": "align_filtered",
     "join_left_outer": "overlap",
     "join_inner_distinct": "overlap_inner",
-    "join_range_containment": "table_cells",
     "distinct_select": "line_align",
     "agg_last_by_key": "footer_lines",
     "window_last_matching": "window_neighbors",

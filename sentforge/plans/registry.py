@@ -256,10 +256,10 @@ def q_overlap_inner(spark, sf_dir):
 
 
 def _pairs(spark, sf_dir):
-    """Parallel pairs: a user turn and the next turn, metadata JSON from the
-    event that shares the conversation id."""
+    """Parallel pairs: a turn and the next turn, metadata JSON from the event
+    that shares the conversation id."""
     c = table(spark, sf_dir, "conversations")
-    s = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("src"), F.col("role").alias("src_lang"))
+    s = c.select("conv_id", "turn", F.col("text").alias("src"), F.col("role").alias("src_lang"))
     t = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("tgt"), F.col("role").alias("tgt_lang"))
     e = table(spark, sf_dir, "events").select(F.col("event_id").alias("conv_id"), F.col("props").alias("metadata_json"))
     p = s.join(t, ["conv_id", "turn"]).join(e, "conv_id", "left")
@@ -273,8 +273,7 @@ _PAIRS_SQL = """pairs AS (
   SELECT sha256(s.text) AS src_hash, s.text AS src, t.text AS tgt, s.role AS src_lang, t.role AS tgt_lang,
          try_cast(json_extract_string(e.props, '$.k') AS BIGINT) AS k
   FROM conversations s JOIN conversations t ON s.conv_id = t.conv_id AND t.turn = s.turn + 1
-  LEFT JOIN events e ON e.event_id = s.conv_id
-  WHERE s.role = 'user')"""
+  LEFT JOIN events e ON e.event_id = s.conv_id)"""
 
 
 @register("pair_load", _with(_PAIRS_SQL) + "SELECT * FROM pairs")
@@ -423,11 +422,12 @@ def q_predicate_find(spark, sf_dir):
 from sentforge.functions import text as T  # noqa: E402
 from sentforge.functions.text import STYLE_RULE_ESCAPED  # noqa: E402
 from sentforge.operators import layout as lay  # noqa: E402
+from sentforge.operators.intervals import all_covering  # noqa: E402
 
 # Test binding of the layout inputs: a line table derived from document lines,
 # line boxes derived from lineitem (file = order key mod 1000, so a file holds
-# a few boxes per page and footer groups occur), two table cells on every
-# third page.
+# a few boxes per page and footer groups occur), one to three table cells on
+# every page.
 LINES_PER_PAGE = 8
 
 
@@ -459,15 +459,13 @@ def line_boxes(spark, sf_dir):
 
 
 def table_cell_boxes(spark, sf_dir, lines=None):
+    """One to three cells on every page, at heights that vary with the page."""
     lines = lines if lines is not None else layout_lines(spark, sf_dir)
-    pages = lines.select("filename", "page_no").filter(F.col("page_no") % 3 == 0).distinct()
-    cells = F.array(
-        F.struct(F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit(100).alias("x"), F.lit(300).alias("y"),
-                 F.lit(600).alias("w"), F.lit(200).alias("h")),
-        F.struct(F.lit(1).alias("row"), F.lit(0).alias("col"), F.lit(100).alias("x"), F.lit(500).alias("y"),
-                 F.lit(600).alias("w"), F.lit(200).alias("h")),
-    )
-    return pages.select(F.col("filename").alias("file_id"), F.col("page_no").alias("page_num"), F.inline(cells))
+    pages = lines.select("filename", "page_no").distinct()
+    cells = pages.select("*", F.explode(F.sequence(F.lit(0), F.col("page_no") % 3)).alias("row"))
+    return cells.select(
+        F.col("filename").alias("file_id"), F.col("page_no").alias("page_num"), "row", F.lit(0).alias("col"), F.lit(100).alias("x"),
+        (150 + 260 * F.col("row") + 70 * (F.col("page_no") % 4)).cast("int").alias("y"), F.lit(600).alias("w"), (120 + 90 * F.col("row")).cast("int").alias("h"))
 
 
 _LAYOUT_SQL = """layout AS (
@@ -479,8 +477,9 @@ boxes AS (
   SELECT 'doc' || (l_orderkey % 1000)::VARCHAR AS file_id, l_linenumber::INTEGER AS page_num,
          (50 * (l_partkey % 5))::INTEGER AS x, (l_quantity * 25)::INTEGER AS y, (40 + 20 * (l_suppkey % 3))::INTEGER AS w FROM lineitem),
 cells AS (
-  SELECT filename AS file_id, page_no AS page_num, c.* FROM (SELECT DISTINCT filename, page_no FROM layout WHERE page_no % 3 = 0),
-  (VALUES (0, 0, 100, 300, 600, 200), (1, 0, 100, 500, 600, 200)) c(row, col, x, y, w, h))"""
+  SELECT filename AS file_id, page_no AS page_num, row::INTEGER AS row, 0 AS col, 100 AS x, (150 + 260 * row + 70 * (page_no % 4))::INTEGER AS y,
+         600 AS w, (120 + 90 * row)::INTEGER AS h
+  FROM (SELECT filename, page_no, unnest(range(page_no % 3 + 1)) AS row FROM (SELECT DISTINCT filename, page_no FROM layout)))"""
 
 _L = _with(o.DOC_LINES, _LAYOUT_SQL)
 
@@ -579,6 +578,16 @@ def q_table_cells(spark, sf_dir):
     return out.select("filename", "page_no", "idx", "top", "cell_row", "cell_y")
 
 
+@register("join_range_containment", _L + """SELECT l.filename, l.page_no, l.idx, l.top, c.row AS cell_row, c.y AS cell_y, c.h AS cell_h
+FROM layout l JOIN cells c ON l.filename = c.file_id AND l.page_no = c.page_num AND l.top BETWEEN c.y - 100 AND c.y + c.h + 100""")
+def q_range_containment(spark, sf_dir):
+    """Every line with every cell that it touches within a margin."""
+    lines = layout_lines(spark, sf_dir)
+    out = all_covering(lines, table_cell_boxes(spark, sf_dir, lines), [("filename", "file_id"), ("page_no", "page_num")], "top",
+                       F.col("y") - 100, F.col("y") + F.col("h") + 100, ["row", "y", "h"], name="cell")
+    return out.select("filename", "page_no", "idx", "top", F.col("cell.row").alias("cell_row"), F.col("cell.y").alias("cell_y"), F.col("cell.h").alias("cell_h"))
+
+
 @register(
     "window_neighbors",
     _L + """, d AS (SELECT filename, style_key AS para_style_key FROM
