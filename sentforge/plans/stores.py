@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sentforge.operators import memory as mem
@@ -13,6 +14,7 @@ from sentforge.plans.registry import _with, register
 from sentforge.plans.tables import doc_lines, table
 from sentforge.session import checkpoint_dir
 from sentforge.sources import memory_store as store
+from sentforge.sources import readers, sinks, splits
 
 
 def new_folder(spark, what: str) -> str:
@@ -75,3 +77,150 @@ def q_join_memory_lookup(spark, sf_dir):
 def q_join_memory_miss(spark, sf_dir):
     kept = store.create(spark, new_folder(spark, "memory"), R._memory(spark, sf_dir))
     return store.lookup(kept, R._requests(spark, sf_dir), "hi").filter("not hit").select("source_sentence")
+
+
+# ---------------------------------------------------- files of the tables ----
+_DOC_COLUMNS = "doc_id bigint, lang string, source string, text string"
+
+
+def _documents(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+
+
+def _csv_of_documents(spark, sf_dir) -> str:
+    """Documents with their line breaks and quotes as quoted CSV."""
+    path = new_folder(spark, "documents.csv")
+    sinks.write_csv(_documents(spark, sf_dir), path)
+    return path
+
+
+@register("scan_csv_multiline", "SELECT doc_id, lang, source, text FROM documents")
+def q_scan_csv_multiline(spark, sf_dir):
+    return readers.read_csv_multiline(spark, _csv_of_documents(spark, sf_dir), _DOC_COLUMNS)
+
+
+@register("scan_numbered_files", _with(o.DOC_LINES) + """SELECT line, row_number() OVER (ORDER BY doc_id, line_no) - 1 AS row_id FROM doc_lines""")
+def q_scan_numbered_files(spark, sf_dir):
+    """Lines written in document order over several files, numbered from the files."""
+    path = new_folder(spark, "lines")
+    lines = doc_lines(spark, sf_dir).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "line_no")
+    sinks.write_text(lines.select("line"), path)
+    return splits.numbered_lines(spark, path, "line").select("line", "row_id")
+
+
+_LINES = _with(o.DOC_LINES)
+
+
+def _line_files(spark, sf_dir, fmt: str) -> str:
+    """(doc_id, line_no, line) of every line as CSV, TSV or text files."""
+    path = new_folder(spark, f"lines.{fmt}")
+    rows = doc_lines(spark, sf_dir).select("doc_id", "line_no", "line")
+    if fmt == "txt":
+        sinks.write_text(rows.select("line"), path)
+    else:
+        rows.write.options(sep="\t" if fmt == "tsv" else ",", quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+    return path
+
+
+_ROW = "doc_id bigint, line_no int, line string"
+
+
+@register("scan_csv_schema", _LINES + "SELECT doc_id, line_no, line FROM doc_lines")
+def q_scan_csv_schema(spark, sf_dir):
+    return readers.read_csv(spark, _line_files(spark, sf_dir, "csv"), _ROW)
+
+
+@register("scan_tsv", _LINES + "SELECT doc_id, line_no, line FROM doc_lines")
+def q_scan_tsv(spark, sf_dir):
+    return readers.read_tsv(spark, _line_files(spark, sf_dir, "tsv"), _ROW)
+
+
+@register("scan_csv_glob", _LINES + "SELECT doc_id, line_no, line FROM doc_lines")
+def q_scan_csv_glob(spark, sf_dir):
+    return readers.read_csv(spark, _line_files(spark, sf_dir, "csv") + "/part-*", _ROW)
+
+
+@register("scan_line_csv", _LINES + "SELECT line AS sentences, count(*)::BIGINT AS n FROM doc_lines WHERE line <> '' GROUP BY line")
+def q_scan_line_csv(spark, sf_dir):
+    lines = readers.read_line_csv(spark, _line_files(spark, sf_dir, "txt"))
+    return lines.groupBy("sentences").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("scan_stage_output", _with(o.negative_tokens_cte()) + "SELECT token FROM neg_tokens")
+def q_scan_stage_output(spark, sf_dir):
+    """Negative tokens written by one stage and read by the next."""
+    path = new_folder(spark, "neg-tokens")
+    sinks.write_text(R.neg_tokens(spark, sf_dir), path)
+    return readers.read_stage_output(spark, path)
+
+
+@register("sink_text_single", _LINES + "SELECT line, count(*)::BIGINT AS n FROM doc_lines GROUP BY line")
+def q_sink_text(spark, sf_dir):
+    return readers.read_lines(spark, _line_files(spark, sf_dir, "txt")).groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("scan_whole_files", "SELECT count(*)::BIGINT AS files, sum(length(html))::BIGINT AS chars FROM pages")
+def q_scan_whole_files(spark, sf_dir):
+    """Every page as a file of its own folder value, read back whole."""
+    path = new_folder(spark, "pages")
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages.write.partitionBy("page_id").option("lineSep", "\x01").text(path)  # a page has no such character, so a file is a page
+    whole = readers.read_whole_files(spark, f"{path}/*").select(F.expr("substr(content, 1, length(content) - 1)").alias("html"))
+    return whole.agg(F.count(F.lit(1)).alias("files"), F.sum(F.length("html")).alias("chars"))
+
+
+@register("sink_csv_header", _LINES + "SELECT lang, count(*)::BIGINT AS n_lines FROM doc_lines GROUP BY lang")
+def q_sink_csv_header(spark, sf_dir):
+    path = new_folder(spark, "counts.csv")
+    sinks.write_csv(doc_lines(spark, sf_dir).groupBy("lang").agg(F.count(F.lit(1)).alias("n_lines")), path, single_file=True)  # a row per language
+    return readers.read_csv(spark, path, "lang string, n_lines bigint", header=True)
+
+
+@register("sink_csv_error_if_exists", "SELECT true AS refused, (SELECT count(*) FROM benchmark)::BIGINT AS n")
+def q_sink_csv_error(spark, sf_dir):
+    """A second write to the same folder is refused and leaves the first as it was."""
+    path = new_folder(spark, "items.csv")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    sinks.write_csv(items, path)
+    refused = False
+    try:
+        sinks.write_csv(items.limit(1), path)
+    except AnalysisException:
+        refused = True
+    back = readers.read_csv_multiline(spark, path, "item_id string, text string")
+    return back.agg(F.lit(refused).alias("refused"), F.count(F.lit(1)).alias("n")).select("refused", "n")
+
+
+@register("sink_parquet", "SELECT doc_id, lang, source, text FROM documents")
+def q_sink_parquet(spark, sf_dir):
+    path = new_folder(spark, "documents.parquet")
+    sinks.write_parquet(_documents(spark, sf_dir), path)
+    return spark.read.schema(_DOC_COLUMNS).parquet(path)
+
+
+@register("sink_sentence_lines", _with(*R._SENT_CTES) + "SELECT sentence, count(*)::BIGINT AS n FROM sent GROUP BY sentence")
+def q_sink_sentence_lines(spark, sf_dir):
+    path = new_folder(spark, "sentences")
+    sinks.write_text(R._sentences(spark, sf_dir).select("sentence"), path)
+    return readers.read_lines(spark, path, "sentence").groupBy("sentence").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _catalog_table(spark, sf_dir) -> str:
+    """A table of the session catalog over a folder, declared by DDL, and filled by INSERT ... SELECT."""
+    path = new_folder(spark, "customers")
+    name = f"customers_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} (c_custkey BIGINT, c_name STRING, c_acctbal DOUBLE) USING parquet LOCATION '{path}'")
+    sinks.insert_into(table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint"), "c_name", F.col("c_acctbal").cast("double")), name)
+    return name
+
+
+@register("catalog_ddl", "SELECT column_name, data_type, (SELECT count(*) FROM customer)::BIGINT AS n FROM (VALUES ('c_custkey', 'bigint'), ('c_name', 'string'), ('c_acctbal', 'double')) v(column_name, data_type)")
+def q_catalog_ddl(spark, sf_dir):
+    name = _catalog_table(spark, sf_dir)
+    found = spark.sql(f"DESCRIBE TABLE {name}")
+    return found.select(F.col("col_name").alias("column_name"), "data_type", spark.table(name).agg(F.count(F.lit(1))).scalar().alias("n"))
+
+
+@register("sink_insert_select", "SELECT c_custkey::BIGINT AS c_custkey, c_name, c_acctbal::DOUBLE AS c_acctbal FROM customer")
+def q_sink_insert_select(spark, sf_dir):
+    return spark.table(_catalog_table(spark, sf_dir))

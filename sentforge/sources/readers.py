@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sentforge.sources.splits import read_csv_records
+
 _QUOTE = {"quote": '"', "escape": '"'}
 
 
@@ -23,9 +25,9 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
 
 
 def read_csv_multiline(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Header row; quoted fields may contain newlines (such a file is read by
-    one task per file - it cannot be split)."""
-    return spark.read.schema(schema).options(header="true", multiLine="true", **_QUOTE).csv(path)
+    """Header row; quoted fields may contain newlines.  A large file is read by
+    many tasks (see ``splits``)."""
+    return read_csv_records(spark, path, schema)
 
 
 def read_line_csv(spark: SparkSession, path: str, col: str = "sentences") -> DataFrame:
@@ -47,8 +49,9 @@ def read_stage_output(spark: SparkSession, path: str, col: str = "token") -> Dat
 def read_numbered_lines(spark: SparkSession, path: str, col: str = "value") -> DataFrame:
     """(line, 0-based global line number) of a text file or folder, in scan
     order.  A row's monotonic id is its partition and its place there; a table
-    with the lines of each partition turns that into the global number.  For line
-    ids *within a document row* use ``posexplode`` instead."""
+    with the lines of each partition turns that into the global number.  Numbers by
+    path and byte offset, whatever the scan order, come from ``splits.numbered_lines``;
+    for line ids *within a document row* use ``posexplode`` instead."""
     place = F.monotonically_increasing_id()
     lines = spark.read.text(path).select(F.col("value").alias(col), place.alias("_id")).withColumn("_part", F.shiftright("_id", 33))
     sizes = lines.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition

@@ -19,7 +19,7 @@ def write_text(df: DataFrame, path: str, mode: str = "overwrite", single_file: b
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists",
               single_file: bool = False) -> None:
     _one(df, single_file).write.mode(mode).option("header", str(header).lower()).options(
-        quote='"', escape='"'
+        quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     ).csv(path)
 
 
