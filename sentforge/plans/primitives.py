@@ -475,12 +475,12 @@ def q_filter_min_width(spark, sf_dir):
 
 
 @register(
-    "join_left_outer_chain",
+    "join_left_outer_next_lines",
     _lines_sql() + """SELECT a.doc_id, a.line_no, a.line AS l0, b.line AS l1, c.line AS l2 FROM doc_lines a
 LEFT JOIN doc_lines b ON a.doc_id = b.doc_id AND b.line_no = a.line_no + 1
 LEFT JOIN doc_lines c ON a.doc_id = c.doc_id AND c.line_no = a.line_no + 2""",
 )
-def q_join_left_outer_chain(spark, sf_dir):
+def q_join_left_outer_next_lines(spark, sf_dir):
     lines = doc_lines(spark, sf_dir)
     out = lines.select("doc_id", "line_no", F.col("line").alias("l0"))
     for k in (1, 2):
@@ -518,7 +518,6 @@ ALIASES = {
     "distinct_select": "line_align",
     "agg_last_by_key": "footer_lines",
     "window_last_matching": "window_neighbors",
-    "sort_page": "sort_multi_key",
     "limit_n": "console_preview",
     "fn_from_json": "struct_expand",
     "fn_style_key": "html_lines",
@@ -527,7 +526,6 @@ ALIASES = {
     "fn_explode": "scan_numbered_lines",
     "fn_arithmetic": "agg_having",
     "fn_regexp_extract_all": "negative_tokens",
-    "partition_by_source": "file_line_counts",
     "fn_page_number_text": "fn_sentence_end",
     "fn_strip_inline_tags": "html_lines",
     "agg_string_concat": "sentence_extract",

@@ -12,20 +12,15 @@ from sentforge.plans import oracle_sql as o
 from sentforge.plans import registry as R
 from sentforge.plans.registry import _with, register
 from sentforge.plans.tables import doc_lines, table
-from sentforge.session import checkpoint_dir
+from sentforge.session import shared_folder
 from sentforge.sources import memory_store as store
 from sentforge.sources import readers, sinks, splits
 
 
-def new_folder(spark, what: str) -> str:
-    """A folder that driver and executors share."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/sentforge-{uuid.uuid4().hex}/{what}"
-
-
 # ---------------------------------------------------------------- memory ----
 def _filled(spark, sf_dir):
     """A store with three layers: the memory, the misses of all requests, and a correction of every line of language en."""
-    kept = store.create(spark, new_folder(spark, "memory"), R._memory(spark, sf_dir))
+    kept = store.create(spark, shared_folder(spark, "memory"), R._memory(spark, sf_dir))
     misses = store.lookup(kept, R._requests(spark, sf_dir), "hi").filter("not hit")
     new = mem.memory_rows(misses, R._translate("source_sentence"), F.lit("und"), F.lit("hi"), text_col="source_sentence")
     kept = store.put(kept, new)
@@ -75,7 +70,7 @@ def q_join_memory_lookup(spark, sf_dir):
 
 @register("join_memory_miss", _STORE_SQL + "SELECT source_sentence FROM looked WHERE NOT hit")
 def q_join_memory_miss(spark, sf_dir):
-    kept = store.create(spark, new_folder(spark, "memory"), R._memory(spark, sf_dir))
+    kept = store.create(spark, shared_folder(spark, "memory"), R._memory(spark, sf_dir))
     return store.lookup(kept, R._requests(spark, sf_dir), "hi").filter("not hit").select("source_sentence")
 
 
@@ -89,7 +84,7 @@ def _documents(spark, sf_dir):
 
 def _csv_of_documents(spark, sf_dir) -> str:
     """Documents with their line breaks and quotes as quoted CSV."""
-    path = new_folder(spark, "documents.csv")
+    path = shared_folder(spark, "documents.csv")
     sinks.write_csv(_documents(spark, sf_dir), path)
     return path
 
@@ -102,7 +97,7 @@ def q_scan_csv_multiline(spark, sf_dir):
 @register("scan_numbered_files", _with(o.DOC_LINES) + """SELECT line, row_number() OVER (ORDER BY doc_id, line_no) - 1 AS row_id FROM doc_lines""")
 def q_scan_numbered_files(spark, sf_dir):
     """Lines written in document order over several files, numbered from the files."""
-    path = new_folder(spark, "lines")
+    path = shared_folder(spark, "lines")
     lines = doc_lines(spark, sf_dir).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "line_no")
     sinks.write_text(lines.select("line"), path)
     return splits.numbered_lines(spark, path, "line").select("line", "row_id")
@@ -113,7 +108,7 @@ _LINES = _with(o.DOC_LINES)
 
 def _line_files(spark, sf_dir, fmt: str) -> str:
     """(doc_id, line_no, line) of every line as CSV, TSV or text files."""
-    path = new_folder(spark, f"lines.{fmt}")
+    path = shared_folder(spark, f"lines.{fmt}")
     rows = doc_lines(spark, sf_dir).select("doc_id", "line_no", "line")
     if fmt == "txt":
         sinks.write_text(rows.select("line"), path)
@@ -149,7 +144,7 @@ def q_scan_line_csv(spark, sf_dir):
 @register("scan_stage_output", _with(o.negative_tokens_cte()) + "SELECT token FROM neg_tokens")
 def q_scan_stage_output(spark, sf_dir):
     """Negative tokens written by one stage and read by the next."""
-    path = new_folder(spark, "neg-tokens")
+    path = shared_folder(spark, "neg-tokens")
     sinks.write_text(R.neg_tokens(spark, sf_dir), path)
     return readers.read_stage_output(spark, path)
 
@@ -162,7 +157,7 @@ def q_sink_text(spark, sf_dir):
 @register("scan_whole_files", "SELECT count(*)::BIGINT AS files, sum(length(html))::BIGINT AS chars FROM pages")
 def q_scan_whole_files(spark, sf_dir):
     """Every page as a file of its own folder value, read back whole."""
-    path = new_folder(spark, "pages")
+    path = shared_folder(spark, "pages")
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
     pages.write.partitionBy("page_id").option("lineSep", "\x01").text(path)  # a page has no such character, so a file is a page
     whole = readers.read_whole_files(spark, f"{path}/*").select(F.expr("substr(content, 1, length(content) - 1)").alias("html"))
@@ -171,7 +166,7 @@ def q_scan_whole_files(spark, sf_dir):
 
 @register("sink_csv_header", _LINES + "SELECT lang, count(*)::BIGINT AS n_lines FROM doc_lines GROUP BY lang")
 def q_sink_csv_header(spark, sf_dir):
-    path = new_folder(spark, "counts.csv")
+    path = shared_folder(spark, "counts.csv")
     sinks.write_csv(doc_lines(spark, sf_dir).groupBy("lang").agg(F.count(F.lit(1)).alias("n_lines")), path, single_file=True)  # a row per language
     return readers.read_csv(spark, path, "lang string, n_lines bigint", header=True)
 
@@ -179,7 +174,7 @@ def q_sink_csv_header(spark, sf_dir):
 @register("sink_csv_error_if_exists", "SELECT true AS refused, (SELECT count(*) FROM benchmark)::BIGINT AS n")
 def q_sink_csv_error(spark, sf_dir):
     """A second write to the same folder is refused and leaves the first as it was."""
-    path = new_folder(spark, "items.csv")
+    path = shared_folder(spark, "items.csv")
     items = table(spark, sf_dir, "benchmark").select("item_id", "text")
     sinks.write_csv(items, path)
     refused = False
@@ -193,21 +188,21 @@ def q_sink_csv_error(spark, sf_dir):
 
 @register("sink_parquet", "SELECT doc_id, lang, source, text FROM documents")
 def q_sink_parquet(spark, sf_dir):
-    path = new_folder(spark, "documents.parquet")
+    path = shared_folder(spark, "documents.parquet")
     sinks.write_parquet(_documents(spark, sf_dir), path)
     return spark.read.schema(_DOC_COLUMNS).parquet(path)
 
 
 @register("sink_sentence_lines", _with(*R._SENT_CTES) + "SELECT sentence, count(*)::BIGINT AS n FROM sent GROUP BY sentence")
 def q_sink_sentence_lines(spark, sf_dir):
-    path = new_folder(spark, "sentences")
+    path = shared_folder(spark, "sentences")
     sinks.write_text(R._sentences(spark, sf_dir).select("sentence"), path)
     return readers.read_lines(spark, path, "sentence").groupBy("sentence").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _catalog_table(spark, sf_dir) -> str:
     """A table of the session catalog over a folder, declared by DDL, and filled by INSERT ... SELECT."""
-    path = new_folder(spark, "customers")
+    path = shared_folder(spark, "customers")
     name = f"customers_{uuid.uuid4().hex}"
     spark.sql(f"CREATE TABLE {name} (c_custkey BIGINT, c_name STRING, c_acctbal DOUBLE) USING parquet LOCATION '{path}'")
     sinks.insert_into(table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint"), "c_name", F.col("c_acctbal").cast("double")), name)
@@ -224,3 +219,29 @@ def q_catalog_ddl(spark, sf_dir):
 @register("sink_insert_select", "SELECT c_custkey::BIGINT AS c_custkey, c_name, c_acctbal::DOUBLE AS c_acctbal FROM customer")
 def q_sink_insert_select(spark, sf_dir):
     return spark.table(_catalog_table(spark, sf_dir))
+
+
+# ------------------------------------------------------- writes by source ----
+_SOURCES_SQL = _LINES + """SELECT source, CASE WHEN source IN (SELECT min(source) FROM documents UNION SELECT max(source) FROM documents)
+  THEN '* ' || line ELSE line END AS line, count(*)::BIGINT AS n FROM doc_lines GROUP BY ALL"""
+
+
+@register("partition_by_source", _SOURCES_SQL)
+def q_partition_by_source(spark, sf_dir):
+    """Lines written by source, two sources written again with a mark, everything read back."""
+    path = shared_folder(spark, "by-source")
+    lines = doc_lines(spark, sf_dir).select("source", "line")
+    size = F.octet_length("line").cast("bigint") + 1
+    sinks.write_balanced(lines, path, "source", size)
+    ends = lines.agg(F.min("source"), F.max("source")).first()
+    again = lines.filter(F.col("source").isin(*ends)).withColumn("line", F.concat(F.lit("* "), F.col("line")))
+    sinks.write_balanced(again, path, "source", size, only=True)
+    return spark.read.schema("line string, source string").parquet(path).groupBy("source", "line").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("sink_partitioned", _LINES + "SELECT lang, count(*)::BIGINT AS n, sum(length(line))::BIGINT AS chars FROM doc_lines GROUP BY lang")
+def q_sink_partitioned(spark, sf_dir):
+    path = shared_folder(spark, "by-language")
+    sinks.write_partitioned(doc_lines(spark, sf_dir).select("lang", "line"), path, "lang", fmt="parquet", files_per_value=4)
+    return spark.read.schema("line string, lang string").parquet(path).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("line")).alias("chars"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +59,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, what: str) -> str:
+    """A new folder that driver and executors share."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/sentforge-{uuid.uuid4().hex}/{what}"
+
+
+def staged(df: DataFrame, what: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: cuts the lineage, and what tasks saw
+    (places, partition numbers) stays the same however often it is read."""
+    path = shared_folder(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

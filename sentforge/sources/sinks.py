@@ -3,7 +3,7 @@ whole result through one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,6 +46,24 @@ def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "csv", files
     w.save(path)
 
 
+def write_balanced(df: DataFrame, path: str, by: str, size: Column | None = None, target_bytes: int = 128 << 20, fmt: str = "parquet",
+                   only: bool = False) -> None:
+    """One folder per value of ``by``, in files of about ``target_bytes`` (by ``size``, a row's bytes; a row counts 1
+    without it).  Each value gets as many salts as its bytes need, so a value with most of the rows is written by
+    many tasks; rows are dealt by ranges of (value, salt).  With ``only``, folders of values that are not in ``df``
+    stay as they are; otherwise the whole folder is replaced."""
+    rows = df.withColumn("_size", size if size is not None else F.lit(1).cast("bigint"))
+    files = rows.groupBy(F.col(by).alias("_by")).agg(F.greatest(F.ceil(F.sum("_size") / F.lit(target_bytes)), F.lit(1)).alias("_files"))
+    salted = rows.join(files, F.col(by).eqNullSafe(F.col("_by"))).withColumn(
+        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_files")))
+    writer = salted.repartitionByRange(by, "_salt").select(*df.columns).write.mode("overwrite").partitionBy(by).format(fmt)
+    if only:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    if fmt == "csv":
+        writer = writer.options(header="true", quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+    writer.save(path)
+
+
 def insert_into(df: DataFrame, table: str) -> None:
     """``INSERT INTO table SELECT ...`` (positional, like SQL)."""
     df.write.insertInto(table)
