@@ -13,6 +13,7 @@ from sentforge.plans import registry as R
 from sentforge.plans.registry import _with, register
 from sentforge.plans.tables import doc_lines, table
 from sentforge.session import shared_folder
+from sentforge.sources import collection
 from sentforge.sources import memory_store as store
 from sentforge.sources import readers, sinks, splits
 
@@ -245,3 +246,28 @@ def q_sink_partitioned(spark, sf_dir):
     sinks.write_partitioned(doc_lines(spark, sf_dir).select("lang", "line"), path, "lang", fmt="parquet", files_per_value=4)
     return spark.read.schema("line string, lang string").parquet(path).groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("line")).alias("chars"))
+
+
+# ---------------------------------------------------- document collection ----
+def _collection(spark, sf_dir) -> str:
+    """Documents with nested ids, appended to a collection in one write per language."""
+    collection.register(spark)
+    path = shared_folder(spark, "collection")
+    docs = _documents(spark, sf_dir).select(F.struct(F.col("doc_id").cast("string").alias("oid")).alias("_id"), "doc_id", "lang", "source", "text")
+    for lang in [r["lang"] for r in docs.select("lang").distinct().orderBy("lang").collect()]:  # a handful
+        part = docs.filter(F.col("lang").eqNullSafe(F.lit(lang)))
+        part.write.format(collection.NAME).mode("append").save(path)
+    return path
+
+
+@register("sink_append_collection", "SELECT doc_id::VARCHAR AS oid, doc_id, lang, source, text FROM documents")
+def q_sink_append_collection(spark, sf_dir):
+    back = spark.read.format(collection.NAME).load(_collection(spark, sf_dir))
+    return back.select("_id.oid", "doc_id", "lang", "source", "text")
+
+
+@register("scan_document_collection", "SELECT doc_id::VARCHAR AS oid, source, text FROM documents WHERE lang = 'en' AND doc_id >= 100 AND source IS NOT NULL")
+def q_scan_document_collection(spark, sf_dir):
+    """English documents from id 100 on: parts of other languages are not opened, the rest is filtered in the source."""
+    back = spark.read.format(collection.NAME).load(_collection(spark, sf_dir))
+    return back.filter((F.col("lang") == "en") & (F.col("doc_id") >= 100) & F.col("source").isNotNull()).select("_id.oid", "source", "text")
