@@ -164,6 +164,14 @@ def ml_tokens(col: Column | str) -> Column:
     return F.split(F.lower(_c(col)), r"\s")
 
 
+def bigram_ids(col) -> Column:
+    """The distinct character bigrams of a lower-cased text as numbers (both code points), in one pass over its characters."""
+    points = F.transform(F.split(F.lower(col), ""), lambda c: F.ascii(c).cast("bigint"))
+    pairs = F.transform(F.array(points), lambda p: F.zip_with(
+        F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p) - 1), lambda a, b: a * F.lit(1 << 21) + b))
+    return F.array_distinct(F.element_at(pairs, 1))
+
+
 def char_bigrams(col: Column | str) -> Column:
     """Set of lower-cased character bigrams (blanks included); empty for < 2 chars.
 

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 LEVELS = 40  # intervals up to 2**40 long; longer ones are cut into more nodes of the top level
 
+# Points are looked up on the levels that intervals use, which one job finds out; where ``levels`` is given, on all of them.
+
 
 def covering_nodes(low: Column, high: Column, levels: int = LEVELS) -> Column:
     """The nodes whose disjoint union is ``[low, high]``: an array of structs (level, place)."""
@@ -48,13 +50,13 @@ def ancestors(point: Column, levels: Sequence[int]) -> Column:
     return F.transform(at, lambda x: F.struct(x.alias("level"), F.call_function("shiftright", point.cast("bigint"), x).alias("place")))
 
 
-def _nodes(intervals: DataFrame, on: Sequence[str], low: Column, high: Column, keep: Column, levels: int) -> DataFrame:
-    rows = intervals.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(on)], covering_nodes(low, high, levels).alias("_n"), keep.alias("_v"))
+def _nodes(intervals: DataFrame, on: Sequence[str], low: Column, high: Column, keep: Column, levels: int | None) -> DataFrame:
+    rows = intervals.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(on)], covering_nodes(low, high, levels or LEVELS).alias("_n"), keep.alias("_v"))
     return rows.select("*", F.explode("_n").alias("_node")).select(*[f"_k{i}" for i in range(len(on))], F.col("_node.level").alias("_level"), F.col("_node.place").alias("_place"), "_v")
 
 
-def _used(nodes: DataFrame) -> list[int]:
-    return sorted(r["_level"] for r in nodes.select("_level").distinct().collect())  # at most ``levels`` numbers
+def _used(nodes: DataFrame, levels: int | None) -> list[int]:
+    return list(range(levels)) if levels else sorted(r["_level"] for r in nodes.select("_level").distinct().collect())  # at most LEVELS numbers
 
 
 def _probes(points: DataFrame, on: Sequence[str], at: str, used: Sequence[int]) -> DataFrame:
@@ -66,14 +68,14 @@ def _probes(points: DataFrame, on: Sequence[str], at: str, used: Sequence[int])
 
 
 def first_covering(points: DataFrame, intervals: DataFrame, on: Sequence[tuple[str, str]], at: str, low: Column, high: Column,
-                   order_by: Sequence[str], keep: Sequence[str], name: str = "covering", levels: int = LEVELS) -> DataFrame:
+                   order_by: Sequence[str], keep: Sequence[str], name: str = "covering", levels: int | None = None) -> DataFrame:
     """``points`` with the struct ``name``: the ``keep`` columns of the first interval, by ``order_by`` (nulls first) and then
     by ``keep``, that covers column ``at``; null where none does.  ``on`` pairs equal columns (points', intervals')."""
     left, right = [a for a, _ in on], [b for _, b in on]
     least = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)], F.struct(*keep).alias("_kept"))
     keys = [f"_k{i}" for i in range(len(on))]
     nodes = _nodes(intervals, right, low, high, least, levels).groupBy(*keys, "_level", "_place").agg(F.min("_v").alias("_v"))
-    found = _probes(points, left, at, _used(nodes)).join(nodes, [*keys, "_level", "_place"]).groupBy(*keys, "_at").agg(F.min("_v")["_kept"].alias(name))
+    found = _probes(points, left, at, _used(nodes, levels)).join(nodes, [*keys, "_level", "_place"]).groupBy(*keys, "_at").agg(F.min("_v")["_kept"].alias(name))
     same = F.col(at).cast("bigint") == F.col("_at")
     for a, k in zip(left, keys, strict=True):
         same = same & (F.col(a) == F.col(k))
@@ -81,12 +83,12 @@ def first_covering(points: DataFrame, intervals: DataFrame, on: Sequence[tuple[s
 
 
 def all_covering(points: DataFrame, intervals: DataFrame, on: Sequence[tuple[str, str]], at: str, low: Column, high: Column,
-                 keep: Sequence[str], name: str = "covering", levels: int = LEVELS) -> DataFrame:
+                 keep: Sequence[str], name: str = "covering", levels: int | None = None) -> DataFrame:
     """Every pair of a point and an interval that covers it, once: ``points`` with the struct ``name``."""
     left, right = [a for a, _ in on], [b for _, b in on]
     keys = [f"_k{i}" for i in range(len(on))]
     nodes = _nodes(intervals, right, low, high, F.struct(*keep), levels)
-    used = _used(nodes)
+    used = _used(nodes, levels)
     rows = points.select("*", *[F.col(c).alias(k) for c, k in zip(left, keys, strict=True)], F.explode(ancestors(F.col(at), used)).alias("_node"))
     rows = rows.withColumns({"_level": F.col("_node.level"), "_place": F.col("_node.place")}).drop("_node")
     return rows.join(nodes, [*keys, "_level", "_place"]).withColumnRenamed("_v", name).drop(*keys, "_level", "_place")

@@ -7,14 +7,15 @@ planner from its size estimate.
 
 ``near_match``: exact set-similarity join (prefix filtering, AllPairs):
 1. distinct texts per side -> set of character bigrams;
-2. global bigram order = (document frequency, bigram), computed with one
-   partial aggregation and joined back on the bigram (JVM only, any vocabulary);
+2. global bigram order = (document frequency of a hashed slot, bigram), from one
+   partial aggregation into a table of fixed size (any vocabulary);
 3. prefix of length ``n - ceil(s*n) + 1`` (s = 1 - threshold), exploded;
    equi join on the prefix token with the length filter
-   ``s*|a| <= |b| <= |a|/s`` in the join condition, on narrow integer rows
-   (set id, size, position, bigram); one partial aggregation per candidate
-   pair counts shared prefix tokens, and a positional upper bound on the
-   overlap drops hopeless pairs;
+   ``s*|a| <= |b| <= |a|/s`` and a bitmap bound on the symmetric difference
+   in the join condition, on narrow integer rows (set id, size, bitmap,
+   position, bigram); one partial aggregation per candidate pair counts
+   shared prefix tokens, and a positional upper bound on the overlap drops
+   hopeless pairs;
 4. the ordered arrays are joined back for the surviving pairs only, the exact
    Jaccard distance is verified and ``distance < threshold`` kept.
 
@@ -25,11 +26,13 @@ bigrams, fixed seed).
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentforge.functions.text import char_bigrams, has_letter, normal_form, word_count
+from sentforge.functions.text import bigram_ids, char_bigrams, has_letter, normal_form, word_count
 from sentforge.session import cut_lineage
 
 
@@ -64,30 +67,49 @@ def exact_match(
     )
 
 
+def _texts(df: DataFrame, col: str, strict: bool) -> DataFrame:
+    return df.select(F.col(col).alias("text")).filter(has_letter(F.col("text"), strict)).filter(F.length("text") >= 2).distinct()
+
+
 def _sets(df: DataFrame, col: str, strict: bool) -> DataFrame:
-    c = F.col(col)
-    return (
-        df.select(c.alias("text"))
-        .filter(has_letter(F.col("text"), strict))
-        .filter(F.length("text") >= 2)
-        .distinct()
-        .withColumn("grams", char_bigrams("text"))
-    )
+    return _texts(df, col, strict).withColumn("grams", char_bigrams("text"))
+
+
+FREQUENCY_SLOTS = 1 << 16
+
+
+def _ordered(sides: list[DataFrame]) -> list[DataFrame]:
+    """All sides (``id``, ``text``) with their bigrams (numbers) rarest first, and the sets' bitmaps.
+
+    Any order that is the same for all sets is right; a good one puts rare bigrams
+    first.  Bigrams are counted in ``FREQUENCY_SLOTS`` hashed slots - one partial
+    aggregate, whose result is a table of that size at any vocabulary - and the
+    slots' counts travel as a literal, so no bigram is ever shuffled."""
+    slot = lambda g: F.pmod(F.xxhash64(g), F.lit(FREQUENCY_SLOTS)).cast("int")
+    sides = [s.withColumn("grams", bigram_ids(F.col("text"))) for s in sides]
+    counts = ["0"] * FREQUENCY_SLOTS
+    for r in reduce(DataFrame.unionAll, [s.select(F.explode("grams").alias("g")) for s in sides]).groupBy(slot(F.col("g")).alias("s")).count().collect():
+        counts[r["s"]] = str(r["count"])  # at most FREQUENCY_SLOTS rows
+    table = F.split(F.lit(",".join(counts)), ",").cast("array<bigint>")
+    ranked = F.array_sort(F.transform("grams", lambda g: F.struct(F.get(table, slot(g)).alias("n"), g.alias("g"))))
+    return [cut_lineage(s.select("id", "text", F.transform(ranked, lambda x: x["g"]).alias("ranks"),
+                                 *[m.alias(f"m{k}") for k, m in enumerate(_bitmap(F.col("grams")))])) for s in sides]
+
+
+BITMAP_LONGS = 4
 
 
-def _ordered(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides with their bigrams in the global (document frequency, bigram)
-    order.  The frequencies are one partial aggregation; they reach the sets by
-    a join on the bigram, so the vocabulary may have any size."""
-    grams = [s.select("id", F.explode("grams").alias("gram")) for s in (a, b)]
-    vocab = grams[0].unionAll(grams[1]).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+def _bitmap(grams: Column) -> list[Column]:
+    """A set as a bitmap of ``64 * BITMAP_LONGS`` hashed bits, in longs."""
+    hashes = F.transform(grams, lambda g: F.xxhash64(g))
+    one = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(h, F.lit(64)).cast("int"))
+    slot = lambda h: F.pmod(F.shiftright(h, 6), F.lit(BITMAP_LONGS))
+    zero = F.lit(0).cast("bigint")
 
-    def order(sets: DataFrame, side: DataFrame) -> DataFrame:
-        ranked = side.join(vocab, "gram").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("_o"))
-        return cut_lineage(sets.select("id", "text").join(ranked, "id").select(
-            "id", "text", F.transform("_o", lambda x: x["gram"]).alias("ranks")))
+    def long(k: int) -> Column:
+        return F.aggregate(F.filter(hashes, lambda h: slot(h) == k), zero, lambda acc, h: acc.bitwiseOR(one(h)))
 
-    return order(a, grams[0]), order(b, grams[1])
+    return [long(k) for k in range(BITMAP_LONGS)]
 
 
 def near_match(
@@ -104,15 +126,15 @@ def near_match(
     s = 1.0 - threshold
     # Integer ids keep the candidate rows narrow; the sets are checkpointed
     # (reliable storage) so the ids cannot change if a task is recomputed.
-    a, b = (cut_lineage(_sets(df, col, strict).withColumn("id", F.monotonically_increasing_id()))
-            for df, col in ((stored, stored_col), (landed, landed_col)))
-    a, b = _ordered(a, b)
+    a, b = _ordered([cut_lineage(_texts(df, col, strict).withColumn("id", F.monotonically_increasing_id()))
+                     for df, col in ((stored, stored_col), (landed, landed_col))])
+    maps = [f"m{k}" for k in range(BITMAP_LONGS)]
 
     def postings(df: DataFrame, tag: str) -> DataFrame:
         n = F.size("ranks")
         p = n - F.ceil(F.lit(s) * n - F.lit(1e-9)).cast("int") + 1
         return df.select(
-            F.col("id").alias(f"{tag}_id"), n.alias(f"{tag}_n"),
+            F.col("id").alias(f"{tag}_id"), n.alias(f"{tag}_n"), *[F.col(m).alias(f"{tag}_{m}") for m in maps],
             F.posexplode(F.slice("ranks", 1, p)).alias(f"{tag}_pos", f"{tag}_tok"),
         )
 
@@ -122,6 +144,8 @@ def near_match(
         pa["a_tok"] == pb["b_tok"],
         pb["b_n"] >= F.lit(s) * pa["a_n"] - eps,
         pb["b_n"] * F.lit(s) <= pa["a_n"] + eps,
+        # every bit that differs is a bigram that the sets do not share: pairs too far apart leave the join at once
+        reduce(add, [F.bit_count(pa[f"a_{m}"].bitwiseXOR(pb[f"b_{m}"])) for m in maps]) <= F.lit((1.0 - s) / (1.0 + s)) * (pa["a_n"] + pb["b_n"]) + eps,
     ]
     # Candidate pairs on narrow rows, one partial aggregation per pair: the
     # shared prefix tokens and the positions of the last one.  A common token

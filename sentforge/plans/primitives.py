@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sentforge.functions import text as T
 from sentforge.functions.nested import flatten_blocks, flatten_three_level, flatten_two_level
 from sentforge.operators import layout as lay
+from sentforge.operators import match as mt
 from sentforge.operators import tokens as tok
 from sentforge.plans import oracle_sql as o
 from sentforge.plans import registry as R
@@ -168,7 +169,7 @@ def q_filter_nested_field(spark, sf_dir):
 
 @register("filter_threshold", R._NEAR_SQL.replace("< 0.5", "< 0.3"))
 def q_filter_threshold(spark, sf_dir):
-    return QUERIES["near_match"](spark, sf_dir).filter(F.col("confidence") < 0.3)
+    return mt.near_match(*R._near_sides(spark, sf_dir), 0.3)
 
 
 # ---------------------------------------------------------------- joins ----
