@@ -32,7 +32,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentforge.functions.text import bigram_ids, char_bigrams, has_letter, normal_form, word_count
+from sentforge.functions.text import bigram_ids, has_letter, normal_form, word_count
 from sentforge.session import cut_lineage
 
 
@@ -71,10 +71,6 @@ def _texts(df: DataFrame, col: str, strict: bool) -> DataFrame:
     return df.select(F.col(col).alias("text")).filter(has_letter(F.col("text"), strict)).filter(F.length("text") >= 2).distinct()
 
 
-def _sets(df: DataFrame, col: str, strict: bool) -> DataFrame:
-    return _texts(df, col, strict).withColumn("grams", char_bigrams("text"))
-
-
 FREQUENCY_SLOTS = 1 << 16
 
 
@@ -210,35 +206,6 @@ def near_match_lsh(
     )
 
 
-def _salted_md5(salt: str):
-    return lambda g: F.md5(F.concat(F.lit(salt), g))
-
-
-def minhash_match(
-    stored: DataFrame,
-    landed: DataFrame,
-    threshold: float = 0.5,
-    stored_col: str = "sentence",
-    landed_col: str = "sentence",
-    tables: int = 4,
-    strict: bool = False,
-) -> DataFrame:
-    """Approximate near match with a stated hash family: the MinHash of table
-    ``t`` is the least hex md5 of ``t`` followed by a bigram.  Distinct texts that
-    share a MinHash in any table are candidates, verified by their exact Jaccard
-    distance.  Same columns as ``near_match``, each pair once."""
-    def side(df: DataFrame, col: str, name: str) -> DataFrame:
-        rows = _sets(df, col, strict)
-        hashes = F.array(*[F.array_min(F.transform("grams", _salted_md5(str(t)))) for t in range(tables)])
-        return rows.select(F.col("text").alias(name), F.col("grams").alias(f"{name}_grams"), F.posexplode(hashes).alias("t", "h"))
-
-    pairs = side(stored, stored_col, "ik_sentence").join(side(landed, landed_col, "pdf_sentence"), ["t", "h"])
-    inter = F.size(F.array_intersect("ik_sentence_grams", "pdf_sentence_grams"))
-    union = F.size("ik_sentence_grams") + F.size("pdf_sentence_grams") - inter
-    dist = F.lit(1.0) - inter.cast("double") / union.cast("double")
-    return pairs.select("ik_sentence", "pdf_sentence", dist.alias("confidence")).filter(F.col("confidence") < threshold).distinct()
-
-
 def prefix_length(n: int, threshold: float) -> int:
     """Python mirror of the prefix length (used by tests)."""
     s = 1.0 - threshold

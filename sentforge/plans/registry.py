@@ -120,21 +120,6 @@ def q_near_match(spark, sf_dir):
     return mt.near_match(a, b, 0.5)
 
 
-_MINHASH = ", ".join(f"list_min(list_transform(g, lambda x: md5('{t}' || x)))" for t in range(4))
-
-
-@register("join_approx_similarity", _NEAR_SQL.split("\n, pairs AS")[0] + f"""
-, ah AS (SELECT text, g, unnest(range(4)) AS t, unnest([{_MINHASH}]) AS h FROM ag)
-, bh AS (SELECT text, g, unnest(range(4)) AS t, unnest([{_MINHASH}]) AS h FROM bg)
-, c AS (SELECT ah.text AS ik_sentence, bh.text AS pdf_sentence, len(list_intersect(ah.g, bh.g)) AS inter, len(ah.g) AS na, len(bh.g) AS nb
-        FROM ah JOIN bh ON ah.t = bh.t AND ah.h = bh.h)
-SELECT DISTINCT ik_sentence, pdf_sentence, 1.0 - inter::DOUBLE / (na + nb - inter)::DOUBLE AS confidence
-FROM c WHERE 1.0 - inter::DOUBLE / (na + nb - inter)::DOUBLE < 0.5""")
-def q_join_approx_similarity(spark, sf_dir):
-    a, b = _near_sides(spark, sf_dir)
-    return mt.minhash_match(a, b, 0.5)
-
-
 @register("near_match_lsh")
 def q_near_match_lsh(spark, sf_dir):
     a, b = _near_sides(spark, sf_dir)
