@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sentforge.functions import text as T
-from sentforge.functions.nested import flatten_blocks, flatten_three_level, flatten_two_level
+from sentforge.functions.nested import flatten_three_level, flatten_two_level
 from sentforge.operators import layout as lay
 from sentforge.operators import match as mt
 from sentforge.operators import tokens as tok
@@ -411,14 +411,6 @@ def q_flatten_two_level(spark, sf_dir):
     return flatten_two_level(resp, ["conv_id"]).withColumnRenamed("text", "sentence")
 
 
-@register("flatten_blocks", "SELECT conv_id, coalesce(text, '') AS text FROM conversations")
-def q_flatten_blocks(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
-    resp = c.select("conv_id", F.array(F.struct(F.array(F.struct(F.coalesce("text", F.lit("")).alias("text")))
-                                                .alias("text_blocks"))).alias("result"))
-    return flatten_blocks(resp, ["conv_id"])
-
-
 @register("flatten_three_level", _with(_CONV_LINES) + "SELECT conv_id, line AS src FROM cl")
 def q_flatten_three_level(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
@@ -520,21 +512,15 @@ ALIASES = {
     "agg_last_by_key": "footer_lines",
     "window_last_matching": "window_neighbors",
     "limit_n": "console_preview",
-    "fn_from_json": "struct_expand",
-    "fn_style_key": "html_lines",
-    "fn_page_number": "html_lines",
-    "fn_map_lookup": "html_lines",
     "fn_explode": "scan_numbered_lines",
     "fn_arithmetic": "agg_having",
     "fn_regexp_extract_all": "negative_tokens",
-    "fn_page_number_text": "fn_sentence_end",
     "fn_strip_inline_tags": "html_lines",
     "agg_string_concat": "sentence_extract",
     # reference UDFs / RDD maps -> the native operators that replace them
     "udf_extract_tokens": "negative_tokens",
     "udf_parse_html": "html_lines",
     "udf_parse_array": "fn_parse_array_string",
-    "udf_filename": "fn_basename",
     "udf_image_name": "fn_image_name_parts",
     "udf_parse_para": "paragraph_assemble",
     "map_parse_line": "memory_lookup",
