@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentforge.llm.common import stage
+
 POINT_BITS = 21  # bits of a code point
 DIMENSIONS = 512
 NGRAM = 3
@@ -108,13 +110,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     first = Window.partitionBy("lang", "part").orderBy("o")
     cut = keys.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= per_language)
     cut = cut.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("o"))).filter(F.col("r") <= per_language)
-    limits = {r["lang"]: r["o"] for r in cut.groupBy("lang").agg(F.max("o").alias("o")).collect()}  # one row per language
-    if not limits:
-        return {}
-    chosen = F.lit(False)
-    for lang, last in limits.items():
-        chosen = chosen | ((F.col(lang_col) == lang) & (order <= last))
-    chosen = rows.filter(chosen).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    limits = stage(cut.groupBy(F.col("lang").alias("_lang")).agg(F.max("o").alias("_last")), "limits")  # one row per language
+    chosen = rows.join(limits, F.col(lang_col) == F.col("_lang")).filter(order <= F.col("_last")).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
     def add_up(frames):
         sums: dict[str, np.ndarray] = {}
