@@ -9,9 +9,12 @@ Two lines within ``edits`` edits of each other: cut the shorter one into
 ``edits + 1`` segments, and the other contains one of them unchanged, near its
 place.  So each line indexes its segments by (length, number, content) and
 probes the substrings that the length difference and the segment's number allow
-(``edits = 2``: 3 keys and 12 probes a line).  Candidates are verified by the
-banded bit-parallel algorithm: the ``2 * edits + 1`` cells of a column are bits
-of one word, and a fold over the longer line updates them.
+(``edits = 2``: 3 keys and 12 probes a line).  Keys that no other line has are
+dropped before any pair is formed; pairs that share a key must then agree in their byte
+pairs but for those that the edits may change.  Candidates are cut to what
+differs and verified by the banded bit-parallel algorithm: the ``2 * edits + 1``
+cells of a column are bits of one word, and a fold over the longer line updates
+them.
 
 Lines without a word always stay.  Edge cases: null texts stay null; a text may
 become empty, its row stays; a null id is the smallest; rows of equal id are
@@ -38,58 +41,49 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return d.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), F.col("line"))})
 
 
-def _segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of a segment; the last ones are one longer where it doesn't divide."""
-    base = F.floor(length / (edits + 1)).cast("int")
-    longer = length - base * (edits + 1)
-    extra = F.greatest(F.lit(0), longer - (edits + 1 - number))
-    return base * number + extra, base + F.when(longer >= edits + 1 - number, 1).otherwise(0)
+def _places(edits: int, probe: bool) -> Column:
+    """What a line is indexed by, or probes for: structs (less, number, shift) - a segment of a line ``less`` bytes
+    shorter, and how far from its place it may stand."""
+    out = []
+    for less in range(edits + 1 if probe else 1):
+        for i in range(edits + 1):
+            low, high = (max(-i, less - (edits - i)), min(i, less + edits - i)) if probe else (0, 0)
+            out += [F.struct(*[F.lit(v).alias(k) for k, v in (("less", less), ("number", i), ("shift", s))]) for s in range(low, high + 1)]
+    return F.array(*out)
 
 
-def _key(length: Column, number: int, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, F.lit(number), F.substring(F.col("bytes"), start + 1, size))
+def _keys(lines: DataFrame, edits: int, probe: bool) -> DataFrame:
+    """``(key, h1)``: a row per place, then one small expression a row, which the JVM compiles."""
+    each = lines.select("h1", "bytes", F.inline(_places(edits, probe)))
+    length = F.length("bytes") - F.col("less")
+    base = F.call_function("div", length, F.lit(edits + 1)).cast("int")
+    longer = length - base * (edits + 1)  # so many segments, the last ones, are one byte longer
+    start = base * F.col("number") + F.greatest(F.lit(0), longer - (edits + 1 - F.col("number"))) + F.col("shift")
+    size = base + F.when(longer >= edits + 1 - F.col("number"), 1).otherwise(0)
+    return each.select(F.xxhash64(length, "number", F.substring("bytes", start + 1, size)).alias("key"), "h1")
 
 
-#: Letters counted in a line's sketch: common ones, 8 bits each.
-SKETCH = "etaonirs"
+def segment_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """``(key, h1)``: the segments under which a line is found."""
+    return _keys(lines, edits, probe=False)
 
 
-def _sketch(line: Column) -> Column:
-    out = F.lit(0).cast("bigint")
-    for k, c in enumerate(SKETCH):
-        n = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(255)).cast("bigint"), 8 * k))
-    return out
+def probe_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """``(key, h1)``: the substrings that may equal a segment of a line up to ``edits`` shorter."""
+    return _keys(lines, edits, probe=True)
 
 
-def _sketches_apart(a: Column, b: Column) -> Column:
-    """At least so many letters differ between two lines; one edit accounts for two."""
-    total = F.lit(0)
-    for k in range(len(SKETCH)):
-        at = [F.shiftright(x, 8 * k).bitwiseAND(F.lit(255)) for x in (a, b)]
-        d = F.abs(at[0] - at[1])
-        total = total + F.least(d, F.lit(256) - d)  # counts are kept modulo 256
-    return total
+def _sketch(text: Column) -> Column:
+    """The parities of a line's byte pairs in 64 hashed classes; one edit changes at most four pairs."""
+    def fold(chars: Column) -> Column:
+        pairs = F.zip_with(F.slice(chars, 1, F.size(chars) - 1), F.slice(chars, 2, F.size(chars) - 1), lambda a, b: F.xxhash64(a, b))
+        bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(h, F.lit(64)).cast("int"))
+        return F.aggregate(pairs, F.lit(0).cast("bigint"), lambda acc, h: acc.bitwiseXOR(bit(h)))
 
+    return let(F.split(text, ""), fold)
 
-def segment_keys(lines: DataFrame, edits: int) -> DataFrame:
-    """``(key, h1, sketch)``: the segments under which a line is found."""
-    n = F.length("bytes")
-    keys = [_key(n, i, *_segment(n, i, edits)) for i in range(edits + 1)]
-    return lines.select(F.explode(F.array(*keys)).alias("key"), "h1", "sketch")
 
-
-def probe_keys(lines: DataFrame, edits: int) -> DataFrame:
-    """``(key, h1, sketch)``: the substrings that may equal a segment of a line up to ``edits`` shorter."""
-    n = F.length("bytes")
-    keys = []
-    for less in range(edits + 1):
-        length = n - less
-        for i in range(edits + 1):
-            start, size = _segment(length, i, edits)
-            for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
-                keys.append(_key(length, i, start + shift, size))
-    return lines.select(F.explode(F.array(*keys)).alias("key"), "h1", "sketch")
+PAIRS_AN_EDIT = 4
 
 
 def banded_distance(a: Column, b: Column, edits: int) -> Column:
@@ -144,20 +138,10 @@ def _shared(x: Column, y: Column, most: Column, tail: bool) -> Column:
 
 def trimmed(pairs: DataFrame, x: str, y: str, edits: int) -> DataFrame:
     """Cut what both strings share at their ends, but for ``edits`` bytes on either
-    side: an edit script never needs the rest.  With two edits one lies at either
-    end of what differs, so pairs whose insides are not equal are dropped here."""
+    side: an edit script never needs the rest."""
     least = F.least(F.length(x), F.length(y))
     d = pairs.withColumn("_head", _shared(F.col(x), F.col(y), least, False))
     d = d.withColumn("_tail", _shared(F.col(x), F.col(y), least - F.col("_head"), True))
-    if edits == 2:
-        m, n = (F.length(c) - F.col("_head") - F.col("_tail") for c in (x, y))
-        inside = F.greatest(m, n) <= edits
-        ends = ((1, 1), (1, 0), (0, 1))  # bytes that an edit takes from x and from y
-        for a, c in ends:
-            for b, e in ends:
-                part = lambda s, k, size: F.substring(F.col(s), F.col("_head") + k + 1, size)
-                inside = inside | ((m - a - b == n - c - e) & (m >= a + b) & (part(x, a, m - a - b) == part(y, c, n - c - e)))
-        d = d.filter(inside)
     head, tail = F.greatest(F.col("_head") - edits, F.lit(0)), F.greatest(F.col("_tail") - edits, F.lit(0))
     cut = lambda c: F.substring(F.col(c), head + 1, F.length(c) - head - tail)
     return d.withColumns({x: cut(x), y: cut(y)}).drop("_head", "_tail")
@@ -167,19 +151,32 @@ def _bit_at(x: Column, at: Column) -> Column:
     return F.when(at < 0, 0).otherwise(F.getbit(x, at).cast("int"))
 
 
+def _met(x: DataFrame, y: DataFrame) -> DataFrame:
+    """The rows ``(key, h1)`` of ``x`` whose key some other line has in ``y``.  A row per key, by a partial aggregate,
+    tells that, so a very common key is one row on the side that is hashed."""
+    keys = y.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+    return x.join(keys.hint("shuffle_hash"), "key").filter((F.col("low") != F.col("h1")) | (F.col("high") != F.col("h1"))).select("key", "h1")
+
+
 def near_links(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """Pairs ``(a, b)`` of different lines within ``edits`` byte edits, as structs ``(h1, h2)``.
 
-    ``lines``: ``h1``, ``h2``, ``bytes`` and ``sketch``, one row per line.  Candidates
-    carry half of the hash; both lines of an equal half are verified.  The join
-    itself drops pairs whose letter counts differ by more than the edits allow."""
-    s, p = segment_keys(lines, edits).alias("s"), probe_keys(lines, edits).alias("p")
-    close = _sketches_apart(F.col("s.sketch"), F.col("p.sketch")) <= 2 * edits
+    ``lines``: ``h1``, ``h2`` and ``bytes``, one row per line.  First only existence is asked: probes that meet a
+    segment of another line, and segments that meet such a probe (``_met``, rows of 16 bytes).  What is left gets
+    its sketch, and the join of both drops pairs whose byte pairs differ in more classes than the edits allow.
+    Candidates carry half of the hash; both lines of an equal half are verified."""
+    segments, probes = segment_keys(lines, edits), probe_keys(lines, edits)
+    probes = stage(_met(probes, segments), "probes")
+    segments = stage(_met(segments.filter(Bitmap(probes.select("key").distinct()).holds(F.col("key"))), probes), "segments")
+    some = probes.select("h1").unionByName(segments.select("h1")).distinct()
+    texts = lines.filter(Bitmap(some).holds(F.col("h1"))).join(some, "h1", "left_semi").select(
+        "h1", "h2", F.decode("bytes", "ISO-8859-1").alias("bytes"))  # from here on one character per byte
+    texts = stage(texts.withColumn("sketch", _sketch(F.col("bytes"))), "texts")
+    sketches = texts.select("h1", "sketch")
+    s, p = segments.join(sketches, "h1").alias("s"), probes.join(sketches, "h1").alias("p")
+    close = F.bit_count(F.col("s.sketch").bitwiseXOR(F.col("p.sketch"))) <= PAIRS_AN_EDIT * edits
     found = s.join(p, (F.col("s.key") == F.col("p.key")) & (F.col("s.h1") != F.col("p.h1")) & close)
     pairs = stage(found.select(F.least("s.h1", "p.h1").alias("a"), F.greatest("s.h1", "p.h1").alias("b")).distinct(), "candidates")
-    some = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    texts = stage(lines.filter(Bitmap(some).holds(F.col("h1"))).join(some, "h1", "left_semi").select(
-        "h1", "h2", F.decode("bytes", "ISO-8859-1").alias("bytes")), "texts")  # from here on one character per byte
     side = lambda n, t: texts.select(F.col("h1").alias(n), F.struct("h1", "h2").alias(f"{n}_line"), F.col("bytes").alias(t))
     both = trimmed(pairs.join(side("a", "x"), "a").join(side("b", "y"), "b"), "x", "y", edits)
     near = F.when(F.abs(F.length("x") - F.length("y")) <= edits, banded_distance(F.col("x"), F.col("y"), edits) <= edits).otherwise(False)
@@ -197,7 +194,7 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     long_line = lines.filter(F.octet_length("line") >= near_bytes)
     single = long_line.filter(~copied).select("h1", "h2", "line")
     several = long_line.filter(copied).groupBy("h1", "h2").agg(F.min("line").alias("line"))
-    each = single.unionByName(several).select("h1", "h2", F.encode("line", "UTF-8").alias("bytes"), _sketch(F.col("line")).alias("sketch"))
+    each = stage(single.unionByName(several).select("h1", "h2", F.encode("line", "UTF-8").alias("bytes")), "lines")  # read several times
     links = stage(near_links(each, edits), "links")
     side = lambda n: firsts.select(F.struct("h1", "h2").alias(n), F.col("first").alias(f"f{n}"))
     late = links.join(side("a"), "a").join(side("b"), "b").select(

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_names_are_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in QUERIES if re.match(rf"op{n}_", q)]) == 1
     assert set(QUERIES) <= set(names) and "pipeline" in names and set(ORACLE) <= set(__spark_entry__.oracle_sql())
     assert 4 <= len(corpus_pipeline.STAGES) <= 5

@@ -111,6 +111,36 @@ def test_line_dedup(make, words):
     assert linededup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_sketches_never_part_near_lines(spark):
+    """Up to two byte edits change at most eight of the sketch's classes."""
+    r = __import__("random").Random(21)
+    pairs = []
+    for _ in range(400):
+        a = "".join(r.choice("ab c") for _ in range(r.randint(24, 90)))
+        b = list(a)
+        for _ in range(r.randint(0, 2)):
+            at, kind = r.randrange(len(b)), r.randrange(3)
+            b[at:at + (kind != 0)] = [] if kind == 2 else [r.choice("abcd ")]
+        pairs.append((a, "".join(b)))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    apart = F.bit_count(linededup._sketch(F.col("a")).bitwiseXOR(linededup._sketch(F.col("b"))))
+    assert df.select(F.max(apart)).first()[0] <= 2 * linededup.PAIRS_AN_EDIT
+
+
+def test_a_family_of_near_copies(make, words):
+    """Variants of one line: those one edit from the first go, those a word away stay, as every pair by itself says."""
+    base = words(40, 31)
+    parts = base.split(" ")
+    changed = [" ".join([*parts[:k], words(1, 500 + k), *parts[k + 1:]]) for k in range(40)]
+    typed = [base[:k] + "#" + base[k + 1:] for k in range(0, 120, 3)]
+    rows = [(i, t) for i, t in enumerate([base, *changed, *typed])]
+    kept = {r.doc_id: r.text for r in linededup.dedup_lines(make(rows)).collect()}
+    for i, t in rows:
+        near = any(x != t and abs(len(x.encode()) - len(t.encode())) <= 2 and edit(x.encode(), t.encode()) <= 2 for j, x in rows if j < i)
+        again = any(x == t for j, x in rows if j < i)
+        assert kept[i] == ("" if near or again else t)
+
+
 def test_banded_distance_equals_edit_distance(spark):
     r = __import__("random").Random(8)
     pairs = []
