@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sentforge.functions.text import normal_form
+from sentforge.session import staged
 
 # The ten target languages of the multi-language table, in the
 # reference's column order.
@@ -106,9 +106,8 @@ def language_pivot(
     d = aligned.select(lang_col, "src_sentence", "tgt_sentence").filter(
         F.col(lang_col).isin(*languages) & F.col("tgt_sentence").isNotNull()
     ).distinct()
-    # d feeds both the bucket counts and the numbering: materialise it once
-    d = d.withColumn("_b", F.substring(F.sha2(F.col("tgt_sentence"), 256), 1, 2)).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    # d feeds both the bucket counts and the numbering: written once
+    d = staged(d.withColumn("_b", F.substring(F.sha2(F.col("tgt_sentence"), 256), 1, 2)), "translations")
     group = ["src_sentence", lang_col]
     counts = d.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
