@@ -67,17 +67,24 @@ def _probes(points: DataFrame, on: Sequence[str], at: str, used: Sequence[int])
         *[f"_k{i}" for i in range(len(on))], "_at", F.col("_node.level").alias("_level"), F.col("_node.place").alias("_place"))
 
 
-def first_covering(points: DataFrame, intervals: DataFrame, on: Sequence[tuple[str, str]], at: str, low: Column, high: Column,
+def first_by_point(points: DataFrame, intervals: DataFrame, on: Sequence[tuple[str, str]], at: str, low: Column, high: Column,
                    order_by: Sequence[str], keep: Sequence[str], name: str = "covering", levels: int | None = None) -> DataFrame:
-    """``points`` with the struct ``name``: the ``keep`` columns of the first interval, by ``order_by`` (nulls first) and then
-    by ``keep``, that covers column ``at``; null where none does.  ``on`` pairs equal columns (points', intervals')."""
+    """The distinct keys (``_k0`` ...) and points (``_at``) that an interval covers, with the struct ``name`` of ``first_covering``."""
     left, right = [a for a, _ in on], [b for _, b in on]
     least = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)], F.struct(*keep).alias("_kept"))
     keys = [f"_k{i}" for i in range(len(on))]
     nodes = _nodes(intervals, right, low, high, least, levels).groupBy(*keys, "_level", "_place").agg(F.min("_v").alias("_v"))
-    found = _probes(points, left, at, _used(nodes, levels)).join(nodes, [*keys, "_level", "_place"]).groupBy(*keys, "_at").agg(F.min("_v")["_kept"].alias(name))
+    return _probes(points, left, at, _used(nodes, levels)).join(nodes, [*keys, "_level", "_place"]).groupBy(*keys, "_at").agg(F.min("_v")["_kept"].alias(name))
+
+
+def first_covering(points: DataFrame, intervals: DataFrame, on: Sequence[tuple[str, str]], at: str, low: Column, high: Column,
+                   order_by: Sequence[str], keep: Sequence[str], name: str = "covering", levels: int | None = None) -> DataFrame:
+    """``points`` with the struct ``name``: the ``keep`` columns of the first interval, by ``order_by`` (nulls first) and then
+    by ``keep``, that covers column ``at``; null where none does.  ``on`` pairs equal columns (points', intervals')."""
+    keys = [f"_k{i}" for i in range(len(on))]
+    found = first_by_point(points, intervals, on, at, low, high, order_by, keep, name, levels)
     same = F.col(at).cast("bigint") == F.col("_at")
-    for a, k in zip(left, keys, strict=True):
+    for (a, _), k in zip(on, keys, strict=True):
         same = same & (F.col(a) == F.col(k))
     return points.join(found, same, "left").drop(*keys, "_at")
 

@@ -16,6 +16,7 @@ from sentforge.operators import layout as lay
 from sentforge.plans import oracle_sql as o
 from sentforge.plans import registry as R
 from sentforge.plans.registry import register
+from sentforge.session import staged
 
 CLASSES = {"12Times#000": "ft0", "18Times#000": "ft1"}
 _RULES = " ".join(f".{c}{{font-size:{k[:2]}px;font-family:Times;color:#000;}}" for k, c in CLASSES.items())
@@ -70,18 +71,19 @@ def _on_pages(sql: str) -> str:
 
 
 def _sides(spark, sf_dir):
-    lines = lay.line_table(_html(spark, sf_dir))
-    return lines, R.line_boxes(spark, sf_dir), R.table_cell_boxes(spark, sf_dir, lines)
+    """Line boxes and table cells of the pages."""
+    return R.line_boxes(spark, sf_dir), R.table_cell_boxes(spark, sf_dir)
 
 
 @register("page_paragraphs", _on_pages(R._PARAGRAPH_SQL) + "SELECT * FROM out")
 def q_page_paragraphs(spark, sf_dir):
-    return lay.paragraphs(*_sides(spark, sf_dir))
+    lines = staged(lay.line_table(_html(spark, sf_dir)), "page-lines")  # read for styles and for lines, parsed once
+    return lay.paragraphs(lines, *_sides(spark, sf_dir))
 
 
 @register("page_job", _on_pages(R._STITCH_SQL))
 def q_page_job(spark, sf_dir):
-    return lay.page_job(converted_pages(spark, sf_dir), *_sides(spark, sf_dir)[1:])
+    return lay.page_job(converted_pages(spark, sf_dir), *_sides(spark, sf_dir))
 
 
 @register("fn_map_lookup", _PAGES + """SELECT '/pages/' || filename || '--' || page_no || '.html' AS filepath, idx,
