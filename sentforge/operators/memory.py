@@ -21,9 +21,11 @@ MEMORY_COLUMNS = ("key", "source_sentence", "target_sentence", "source_language"
 
 
 def memory_rows(
-    sources: DataFrame, targets: Column, source_language: Column, target_language: Column, text_col: str = "sentence"
+    sources: DataFrame, targets: Column, source_language: Column, target_language: Column, text_col: str = "sentence", unique: bool = True
 ) -> DataFrame:
-    """Build memory rows (one per key) from sentences and their translations."""
+    """Build memory rows (one per key) from sentences and their translations.
+
+    Rows for a store, which picks a row per key itself, need not be ``unique``: that saves shuffling them twice."""
     rows = sources.select(
         memory_key(target_language, F.col(text_col)).alias("key"),
         F.col(text_col).alias("source_sentence"),
@@ -31,7 +33,7 @@ def memory_rows(
         source_language.alias("source_language"),
         target_language.alias("target_language"),
     )
-    return dedupe_by_key(rows)
+    return dedupe_by_key(rows) if unique else rows
 
 
 def dedupe_by_key(rows: DataFrame, order_col: str | None = None) -> DataFrame:

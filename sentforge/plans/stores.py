@@ -21,12 +21,12 @@ from sentforge.sources import readers, sinks, splits
 # ---------------------------------------------------------------- memory ----
 def _filled(spark, sf_dir):
     """A store with three layers: the memory, the misses of all requests, and a correction of every line of language en."""
-    kept = store.create(spark, shared_folder(spark, "memory"), R._memory(spark, sf_dir))
+    kept = store.create(spark, shared_folder(spark, "memory"), R._memory(spark, sf_dir, unique=False))
     misses = store.lookup(kept, R._requests(spark, sf_dir), "hi").filter("not hit")
-    new = mem.memory_rows(misses, R._translate("source_sentence"), F.lit("und"), F.lit("hi"), text_col="source_sentence")
+    new = mem.memory_rows(misses, R._translate("source_sentence"), F.lit("und"), F.lit("hi"), text_col="source_sentence", unique=False)
     kept = store.put(kept, new)
     lines = doc_lines(spark, sf_dir).filter((F.col("lang") == "en") & (F.col("line") != ""))
-    fixed = mem.memory_rows(lines.select(F.col("line").alias("sentence")), F.concat(F.lit("[hi, checked] "), F.col("sentence")), F.lit("en"), F.lit("hi"))
+    fixed = mem.memory_rows(lines.select(F.col("line").alias("sentence")), F.concat(F.lit("[hi, checked] "), F.col("sentence")), F.lit("en"), F.lit("hi"), unique=False)
     return store.put(kept, fixed)
 
 
@@ -71,7 +71,7 @@ def q_join_memory_lookup(spark, sf_dir):
 
 @register("join_memory_miss", _STORE_SQL + "SELECT source_sentence FROM looked WHERE NOT hit")
 def q_join_memory_miss(spark, sf_dir):
-    kept = store.create(spark, shared_folder(spark, "memory"), R._memory(spark, sf_dir))
+    kept = store.create(spark, shared_folder(spark, "memory"), R._memory(spark, sf_dir, unique=False))
     return store.lookup(kept, R._requests(spark, sf_dir), "hi").filter("not hit").select("source_sentence")
 
 
@@ -157,11 +157,13 @@ def q_sink_text(spark, sf_dir):
 
 @register("scan_whole_files", "SELECT count(*)::BIGINT AS files, sum(length(html))::BIGINT AS chars FROM pages")
 def q_scan_whole_files(spark, sf_dir):
-    """Every page as a file of its own folder value, read back whole."""
+    """Every page as a file of its own, read back whole."""
     path = shared_folder(spark, "pages")
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    pages.write.partitionBy("page_id").option("lineSep", "\x01").text(path)  # a page has no such character, so a file is a page
-    whole = readers.read_whole_files(spark, f"{path}/*").select(F.expr("substr(content, 1, length(content) - 1)").alias("html"))
+    pages = table(spark, sf_dir, "pages").select("html")
+    # a file a row in one folder that is listed once; tasks move their files there themselves, not the driver one by one.
+    # A page has no such character, so a file is a page.
+    pages.write.options(lineSep="\x01", maxRecordsPerFile="1", **{"mapreduce.fileoutputcommitter.algorithm.version": "2"}).text(path)
+    whole = readers.read_whole_files(spark, path).select(F.expr("substr(content, 1, length(content) - 1)").alias("html"))
     return whole.agg(F.count(F.lit(1)).alias("files"), F.sum(F.length("html")).alias("chars"))
 
 

@@ -55,7 +55,7 @@ def _log(spark: SparkSession, path: str, version: int, buckets: int, layers: lis
 def _write_layer(rows: DataFrame, path: str, buckets: int) -> str:
     """One file per bucket: rows reach the tasks in the buckets' own partitioning."""
     name = f"layer-{uuid.uuid4().hex}"
-    rows.select(*MEMORY_COLUMNS).write.bucketBy(buckets, "key").sortBy("key").option("path", f"{path}/{name}").format("parquet").saveAsTable(_table(path, name))
+    rows.select(*MEMORY_COLUMNS).write.bucketBy(buckets, "key").sortBy("key").option("path", f"{path}/{name}").option("compression", "zstd").format("parquet").saveAsTable(_table(path, name))
     return name
 
 
@@ -73,7 +73,8 @@ def _layer(store: MemoryStore, layer: str) -> DataFrame:
 
 
 def _by_bucket(rows: DataFrame, buckets: int, order_col: str | None = None) -> DataFrame:
-    return dedupe_by_key(rows.filter("key is not null"), order_col).repartition(buckets, "key")
+    """One row per key, shuffled once: the buckets' own partitioning serves the choice of the row, too."""
+    return dedupe_by_key(rows.filter("key is not null").repartition(buckets, "key"), order_col)
 
 
 def create(spark: SparkSession, path: str, rows: DataFrame, buckets: int = BUCKETS) -> MemoryStore:

@@ -104,3 +104,15 @@ def test_empty_store(spark, tmp_path):
     kept = store.put(store.create(spark, str(tmp_path), none, buckets=2), rows_of(spark, []))
     assert store.scan(kept).count() == 0 and store.get(kept, "x").count() == 0
     assert store.lookup(kept, spark.createDataFrame([("a",)], "sentence string"), "hi").filter("hit").count() == 0
+
+
+def test_rows_reach_their_bucket_in_one_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from sentforge.operators import memory as mem
+    from sentforge.sources import memory_store as ms
+
+    lines = spark.createDataFrame([("a", "en"), ("a", "hi"), ("b", "en")], "sentence string, lang string")
+    rows = ms._by_bucket(mem.memory_rows(lines, F.concat(F.lit("t "), F.col("sentence")), F.col("lang"), F.lit("hi"), unique=False), 4)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted((r.source_sentence, r.source_language) for r in rows.collect()) == [("a", "hi"), ("b", "en")]

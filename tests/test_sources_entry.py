@@ -84,3 +84,11 @@ def test_binary_documents_text_append_insert(spark):
     S.insert_into(spark.createDataFrame([("a", "b")], "src string, tgt string"), "sf_pairs")
     assert [tuple(r) for r in spark.table("sf_pairs").collect()] == [("a", "b")]
     spark.sql("DROP TABLE sf_pairs")
+
+
+def test_every_page_is_a_file(spark, tmp_path):
+    """Also pages that share an id: a file each, none of them in a folder of its own."""
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(1, "<p>a"), (1, "<p>bc"), (2, "d\ne")], "page_id bigint, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    assert [tuple(r) for r in entry.queries()["scan_whole_files"](spark, str(tmp_path)).collect()] == [(3, 12)]
