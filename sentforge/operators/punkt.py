@@ -43,6 +43,7 @@ OPENERS = "\"'“‘(["
 _CLOSE = "[" + CLOSERS.replace("]", "\\]") + "]{0," + str(MAX_CLOSERS) + "}$"
 _OPEN = "^[" + OPENERS.replace("[", "\\[") + "]+"
 NUMBER_RULE = "^[-+]?[0-9][0-9.,:/-]*$"
+PLAIN_RULE = r"^[A-Za-z]++\z"
 WORD_RULE = "[a-z\\x{80}-\\x{10FFFF}]"
 _TINY = 1e-300
 
@@ -58,10 +59,11 @@ class Word:
 
 
 def word_parts(word: Column) -> Word:
-    core = F.regexp_replace(F.regexp_replace(word, _OPEN, ""), _CLOSE, "")
-    mark = F.when(core.rlike(r"\.\.$"), "dots").when(core.endswith("."), "dot").when(core.rlike("[?!]$"), "stop").otherwise("none")
+    plain = word.rlike(PLAIN_RULE)  # most words: one test tells all but the case
+    core = F.when(plain, word).otherwise(F.regexp_replace(F.regexp_replace(word, _OPEN, ""), _CLOSE, ""))
+    mark = F.when(plain, "none").when(core.rlike(r"\.\.$"), "dots").when(core.endswith("."), "dot").when(core.rlike("[?!]$"), "stop").otherwise("none")
     bare = F.regexp_replace(F.regexp_replace(F.lower(core), "[.?!]$", ""), "[,;:]+$", "")
-    kind = F.when(core.rlike(r"\.\.$"), "..").when(bare.rlike(NUMBER_RULE), NUMBER).otherwise(bare)
+    kind = F.when(plain, F.lower(word)).when(core.rlike(r"\.\.$"), "..").when(bare.rlike(NUMBER_RULE), NUMBER).otherwise(bare)
     first = F.substring(core, 1, 1)
     case = F.when(F.upper(first) == F.lower(first), "N").when(first == F.upper(first), "U").when(first == F.lower(first), "L").otherwise("N")
     return Word(mark, kind, case, first.isin(",", ";", ":", "."))
