@@ -5,8 +5,10 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from sentforge.llm import langid, quality, resampling, toxicity
 
@@ -73,6 +75,75 @@ def test_toxicity_learns_from_long_rows_too(toxic_rows, spark):
     assert right / len(rows) > 0.9
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    r = random.Random(4)
+    common = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 7))) for _ in range(120)]
+    ids = [x.id for x in spark.range(3500).orderBy(F.xxhash64("id", F.lit(17))).collect()]
+    rows, marks = [], []
+    for k, i in enumerate(ids):  # the 200 toxic rows whose ids hash highest have a word of their own
+        toxic = k % 5 < 2 or k >= 3300
+        words = [r.choice(common) for _ in range(8)]
+        if toxic:
+            words[r.randrange(8)] = "vexmorl" if k < 3300 else "quzzak"
+        rows.append((i, " ".join(words), "x"))
+        marks.append((i, int(toxic)))
+    assert sum(y for _, y in marks[:3300]) > 1000
+    docs, labels = spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    m = toxicity.train(docs, labels)
+    tries = [" ".join(r.choice(common) for _ in range(8)) for _ in range(20)]
+    scorer = toxicity.Scorer(m)
+    assert sum(s >= 0.5 for s in scorer.many([f"{t} quzzak" for t in tries])) >= 18
+    assert sum(s < 0.5 for s in scorer.many(tries)) >= 18
+
+
+def test_toxicity_is_trained_by_several_tasks(toxic_rows, spark, monkeypatch):
+    texts, labels, langs = toxic_rows
+    monkeypatch.setattr(toxicity, "UNIT_ROWS", 75)
+    small = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        docs = spark.createDataFrame(list(zip(range(300), texts, langs, strict=True)), "doc_id bigint, text string, lang string")
+        found = [toxicity.train(docs, spark.createDataFrame(list(enumerate(labels)), "doc_id bigint, toxic int")) for _ in range(2)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    scores = [toxicity.Scorer(m).many(texts) for m in found]
+    assert scores[0] == scores[1]
+    assert sum((s >= 0.5) == bool(y) for s, y in zip(scores[0], labels, strict=True)) > 0.9 * len(labels)
+
+
+def test_toxicity_averages_by_rows():
+    a, b = [toxicity.new_model(1) for _ in range(3)], [toxicity.new_model(2) for _ in range(3)]
+    a[2].const = 3.0
+    frame = pd.DataFrame({"at": [7, 7], "first": [5, 2], "n": [3, 1], "v": [(n * toxicity._pack(x).astype(float)).tobytes() for n, x in ((3, a), (1, b))]})
+    out = toxicity._sum(frame)
+    models, rest = toxicity._unpack(np.frombuffer(out["v"][0], np.float32))
+    assert out["at"].tolist() == [7] and len(rest) == 0 and models[2].const == 2.25
+    assert np.allclose(models[1].embed, 0.75 * a[1].embed + 0.25 * b[1].embed, atol=1e-6)
+
+
+def test_word_features_of_odd_words():
+    same = toxicity.word_features("Haus")
+    assert same == toxicity.word_features("(haus),") and len(same) == 4
+    one, none = toxicity.word_features("é"), toxicity.word_features("...")
+    assert len(one) == 1 and len(none) == 3
+    words = ["haus", "é", "...", "(haus),", "\ud800x", "𝒳y"]
+    flat, starts, scale = toxicity._ragged(words)
+    assert [x.tolist() for x in np.split(flat, starts[1:])] == [toxicity.word_features(w) for w in words]
+    assert len(scale) == len(words)
+
+
+def test_long_texts_are_pooled_in_blocks(toxic_rows, monkeypatch):
+    texts, labels, langs = toxic_rows
+    m = toxicity.fit(texts, np.array(labels), langs)
+    many = [*texts[:5], "", " ".join(texts[:9]), None, texts[3]]
+    whole = toxicity.Scorer(m).many(many)
+    monkeypatch.setattr(toxicity, "_BLOCK", 7)
+    assert toxicity.Scorer(m).many(many) == pytest.approx(whole, abs=1e-5)
+
+
 def test_batches_hold_every_text_once():
     docs = [np.zeros(n) for n in (5, 300_000, 7, 0, 199_999, 3)]
     batches = list(toxicity._batches(np.arange(6), docs))
