@@ -114,6 +114,21 @@ def test_toxicity_is_trained_by_several_tasks(toxic_rows, spark, monkeypatch):
     assert sum((s >= 0.5) == bool(y) for s, y in zip(scores[0], labels, strict=True)) > 0.9 * len(labels)
 
 
+def test_toxicity_passes_over_many_units_as_often(toxic_rows, spark, monkeypatch):
+    texts, labels, langs = (x * 2 for x in toxic_rows)
+    docs = spark.createDataFrame(list(zip(range(len(texts)), texts, langs, strict=True)), "doc_id bigint, text string, lang string")
+    marks = spark.createDataFrame(list(enumerate(labels)), "doc_id bigint, toxic int")
+    passes, unpack = [], toxicity._unpack
+    monkeypatch.setattr(toxicity, "_unpack", lambda vector: passes.append(1) or unpack(vector))  # once a pass on the driver
+    found = []
+    for rows in (1 << 20, 100):
+        monkeypatch.setattr(toxicity, "UNIT_ROWS", rows)
+        toxicity.train(docs, marks)
+        found.append(len(passes))
+        passes.clear()
+    assert found == [toxicity.EPOCHS[0]] * 2
+
+
 def test_toxicity_averages_by_rows():
     a, b = [toxicity.new_model(1) for _ in range(3)], [toxicity.new_model(2) for _ in range(3)]
     a[2].const = 3.0
